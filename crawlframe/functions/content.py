@@ -90,9 +90,8 @@ def extension_datatype(extension: Column) -> Column:
     return F.when(extension.isin(MARKUP_EXTENSIONS), F.lit("HTML")).otherwise(F.upper(F.substr(extension, F.lit(2))))
 
 
-def fetch_route(content_type: Column, url: Column) -> Column:
+def extension_route(extension: Column) -> Column:
     """``document``, ``website`` or ``skip``."""
-    extension = fetch_extension(content_type, url)
     return (
         F.when(extension.isin(DOCUMENT_EXTENSIONS), F.lit("document"))
         .when(extension_datatype(extension) == "HTML", F.lit("website"))

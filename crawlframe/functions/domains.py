@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlframe.functions.bind import bind
+
 # Suffixes used when the caller gives no public-suffix list. A full list (wildcard ``*.x`` and
 # exception ``!y.x`` rules included) is passed as a parameter; it becomes a hash set in the plan.
 DEFAULT_SUFFIXES = ("si", "com", "net", "org", "edu", "gov", "int", "mil", "eu", "de", "at", "it", "hr", "hu",
@@ -51,12 +53,15 @@ def registered_domain(host: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES)
         # An exception rule beats any longer match: the suffix starts right after it.
         broken = F.filter(starts, lambda i: (i > 1) & tail(i - 1).isin(excepted))
         hits = F.when(F.size(broken) > 0, broken).otherwise(hits)
-    first = F.coalesce(F.array_min(hits), n + 1)
     is_ip = host.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$")
-    at = F.when(is_ip, F.lit(0)).otherwise(first)
-    return F.struct(
-        F.when(at > 2, F.array_join(F.slice(labels, F.lit(1), F.greatest(at - 2, F.lit(0))), "."))
-        .otherwise(F.lit("")).alias("subdomain"),
-        F.when(is_ip, host).when(at > 1, F.get(labels, at - 2)).otherwise(F.lit("")).alias("domain"),
-        F.when((at > 0) & (at <= n), tail(F.greatest(at, F.lit(1)))).otherwise(F.lit("")).alias("suffix"),
-    )
+    start = F.when(is_ip, F.lit(0)).otherwise(F.coalesce(F.array_min(hits), n + 1))
+
+    def parts(at: Column) -> Column:
+        return F.struct(
+            F.array_join(F.slice(labels, F.lit(1), F.greatest(at - 2, F.lit(0))), ".").alias("subdomain"),
+            F.when(at == 0, host).otherwise(F.coalesce(F.try_element_at(labels, F.nullif(F.greatest(at - 1, F.lit(0)), F.lit(0))), F.lit("")))
+            .alias("domain"),
+            F.when((at > 0) & (at <= n), tail(F.greatest(at, F.lit(1)))).otherwise(F.lit("")).alias("suffix"),
+        )
+
+    return bind(start, parts)

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from crawlframe.functions.urls import canonicalize_url, path_of, percent_decode
+from crawlframe.functions.bind import bind
+from crawlframe.functions.urls import canonicalize_url, percent_decode
 from crawlframe.schema import DEFAULT_LIMIT_S
 
 _LINE_ENDS = r"\r\n|[\n\x0B\f\r\x1c\x1d\x1e\x85  ]"
@@ -58,16 +59,22 @@ def _names(group: Column, agent: str) -> Column:
     return F.exists(_agents(group), lambda name: name == agent)
 
 
-def robots_groups(robots: Column) -> Column:
-    """The groups of a robots text that count: all that do not name ``*``, then the first that does."""
+def _groups(robots: Column) -> Column:
+    """All groups of a robots text, as marked lines."""
     # A text may end in a line end, after which no further (empty) line is meant.
     body = F.regexp_replace(F.coalesce(robots, F.lit("")), f"(?:{_LINE_ENDS})\\z", "")
     lines = F.filter(F.transform(F.split(body, _LINE_ENDS), _marked_line), lambda t: t.isNotNull())
-    marked = F.concat(F.array_join(lines, "\n"), F.lit("\n"))
-    groups = F.regexp_extract_all(marked, F.lit(_GROUP), 1)
-    others = F.filter(groups, lambda g: ~_names(g, "*"))
-    default = F.slice(F.filter(groups, lambda g: _names(g, "*")), 1, 1)
-    return F.concat(others, default)
+    return F.regexp_extract_all(F.concat(F.array_join(lines, "\n"), F.lit("\n")), F.lit(_GROUP), 1)
+
+
+def robots_groups(robots: Column) -> Column:
+    """The groups of a robots text that count: all that do not name ``*``, then the first that does."""
+    return bind(
+        _groups(robots),
+        lambda groups: F.concat(
+            F.filter(groups, lambda g: ~_names(g, "*")), F.slice(F.filter(groups, lambda g: _names(g, "*")), 1, 1)
+        ),
+    )
 
 
 def star_group(robots: Column) -> Column:
@@ -76,7 +83,11 @@ def star_group(robots: Column) -> Column:
     A group with an empty agent name applies to all agents and comes before the one naming
     ``*``.
     """
-    return F.get(F.filter(robots_groups(robots), lambda g: _names(g, "*") | _names(g, "")), F.lit(0))
+    ranked = F.transform(
+        F.filter(_groups(robots), lambda g: _names(g, "*") | _names(g, "")),
+        lambda g, i: F.struct(_names(g, "*").alias("later"), i.alias("place"), g.alias("group")),
+    )
+    return F.array_min(ranked)["group"]
 
 
 def _rule_path(raw: Column) -> Column:
@@ -86,19 +97,12 @@ def _rule_path(raw: Column) -> Column:
 
 
 def normal_target(decoded: Column, keep_host: bool = False) -> Column:
-    """Path, query and fragment of a decoded URL; empty query, fragment and parameters go."""
-    decoded = F.ltrim(F.translate(decoded, "\t\r\n", ""))
-    no_fragment = F.substring_index(decoded, "#", 1)
-    base = F.substring_index(no_fragment, "?", 1)
-    query = F.when(F.instr(no_fragment, "?") > 0, F.substr(no_fragment, F.length(base) + 1)).otherwise(F.lit(""))
-    fragment = F.when(F.instr(decoded, "#") > 0, F.substr(decoded, F.length(no_fragment) + 1)).otherwise(F.lit(""))
-    path = base if keep_host else path_of(base)
-    path = F.regexp_replace(path, r"^((?:.*/)?[^/;]*);$", "$1")
-    return F.concat(
-        path,
-        F.when(query == "?", F.lit("")).otherwise(query),
-        F.when(fragment == "#", F.lit("")).otherwise(fragment),
-    )
+    """Path, query and fragment of a decoded URL; an empty query, fragment or parameter goes."""
+    text = F.ltrim(F.translate(decoded, "\t\r\n", ""))
+    if not keep_host:
+        text = F.regexp_replace(text, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", "")
+    text = F.regexp_replace(text, r"^([^?#]*/)?([^/;?#]*);(?=[?#]|$)", "$1$2")
+    return F.regexp_replace(F.regexp_replace(text, r"#$", ""), r"^([^?#]*)\?(?=#|$)", "$1")
 
 
 def robots_rules(robots: Column) -> Column:
@@ -115,8 +119,7 @@ def robots_rules(robots: Column) -> Column:
 
 def request_target(url: Column) -> Column:
     """What a URL's rules are matched against: its decoded path and query, ``/`` if empty."""
-    target = normal_target(percent_decode(url))
-    return F.when(target == "", F.lit("/")).otherwise(target)
+    return F.regexp_replace(normal_target(percent_decode(url)), "^$", "/")
 
 
 def rules_allow(rules: Column, url: Column) -> Column:
@@ -126,34 +129,44 @@ def rules_allow(rules: Column, url: Column) -> Column:
     return F.coalesce(first["allow"], F.lit(True))
 
 
-def _last(values: Column) -> Column:
-    return F.try_element_at(values, F.lit(-1))
+def _delay_texts(group: Column) -> Column:
+    """Well-formed crawl delays of a group, in order."""
+    texts = F.transform(_values(group, "c"), lambda t: _strip(percent_decode(F.substr(t, F.lit(2)))))
+    return F.filter(texts, lambda t: t.rlike("^[0-9]+$"))
 
 
-def robots_crawl_delay(robots: Column) -> Column:
-    """Crawl delay for any agent in seconds; only whole numbers count."""
-    texts = F.transform(_values(star_group(robots), "c"), lambda t: _strip(percent_decode(F.substr(t, F.lit(2)))))
-    return _last(F.filter(texts, lambda t: t.rlike("^[0-9]+$"))).try_cast("long")
+def _rate_texts(group: Column) -> Column:
+    """Well-formed request rates of a group, in order, as arrays of two numbers."""
+    texts = F.transform(_values(group, "r"), lambda t: percent_decode(F.substr(t, F.lit(2))))
+    return F.transform(
+        F.filter(texts, lambda t: t.rlike(r"^\s*[0-9]+\s*/\s*[0-9]+\s*$")), lambda t: F.transform(F.split(t, "/"), _strip)
+    )
 
 
-def robots_request_rate(robots: Column) -> Column:
-    """Request rate for any agent as a struct (requests, seconds); NULL if none is well-formed."""
-    texts = F.transform(_values(star_group(robots), "r"), lambda t: percent_decode(F.substr(t, F.lit(2))))
-    last = _last(F.filter(texts, lambda t: t.rlike(r"^\s*[0-9]+\s*/\s*[0-9]+\s*$")))
-    return F.when(
-        last.isNotNull(),
-        F.struct(
-            _strip(F.substring_index(last, "/", 1)).try_cast("long").alias("requests"),
-            _strip(F.substring_index(last, "/", -1)).try_cast("long").alias("seconds"),
-        ),
-    )
+def _delay(group: Column) -> Column:
+    return F.try_element_at(_delay_texts(group), F.lit(-1)).try_cast("long")
 
 
-def robots_limit(robots: Column) -> Column:
-    """Seconds between two fetches: request rate, else crawl delay, else the default."""
-    rate = robots_request_rate(robots)
-    per_request = F.try_divide(rate["seconds"].cast("double"), rate["requests"].cast("double"))
-    return F.coalesce(per_request, robots_crawl_delay(robots).cast("double"), F.lit(DEFAULT_LIMIT_S))
+def _rate(group: Column) -> Column:
+    return F.transform(F.try_element_at(_rate_texts(group), F.lit(-1)), lambda t: t.try_cast("long"))
+
+
+def robots_limits(robots: Column) -> Column:
+    """Struct of the limits for any agent: request rate (requests, seconds), crawl delay, limit in seconds.
+
+    The limit is the request rate's, else the crawl delay, else the default; only whole numbers
+    count.
+    """
+
+    def limits(found: Column) -> Column:
+        requests, seconds = F.get(found["rate"], F.lit(0)), F.get(found["rate"], F.lit(1))
+        per_request = F.try_divide(seconds.cast("double"), requests.cast("double"))
+        return F.struct(
+            requests.alias("requests"), seconds.alias("seconds"), found["delay"].alias("crawl_delay"),
+            F.coalesce(per_request, found["delay"].cast("double"), F.lit(DEFAULT_LIMIT_S)).alias("limit_s"),
+        )
+
+    return bind(star_group(robots), lambda g: bind(F.struct(_rate(g).alias("rate"), _delay(g).alias("delay")), limits))
 
 
 def robots_sitemaps(robots: Column) -> Column:
@@ -169,42 +182,23 @@ def sitemap_locations(sitemap: Column) -> Column:
 def robots_normalized(robots: Column) -> Column:
     """Stored form of a robots text: the groups that count, printed back without comments."""
 
+    def agent_line(t: Column) -> Column:
+        return F.concat(F.lit("User-agent: "), percent_decode(percent_decode(F.substr(t, F.lit(2)))))
+
+    def rule_line(t: Column) -> Column:
+        allows = t.startswith("a") | (F.length(t) == 1)
+        return F.concat(F.when(allows, F.lit("Allow: ")).otherwise(F.lit("Disallow: ")), _rule_path(F.substr(t, F.lit(2))))
+
     def block(group: Column) -> Column:
-        agents = F.transform(
-            _values(group, "u"), lambda t: F.concat(F.lit("User-agent: "), percent_decode(percent_decode(F.substr(t, F.lit(2)))))
-        )
-        delays = F.filter(
-            F.transform(_values(group, "c"), lambda t: _strip(percent_decode(F.substr(t, F.lit(2))))),
-            lambda t: t.rlike("^[0-9]+$"),
-        )
-        rates = F.filter(
-            F.transform(_values(group, "r"), lambda t: percent_decode(F.substr(t, F.lit(2)))),
-            lambda t: t.rlike(r"^\s*[0-9]+\s*/\s*[0-9]+\s*$"),
-        )
-        rules = F.transform(
-            _values(group, "ad"),
-            lambda t: F.concat(
-                F.when(t.startswith("a") | (F.length(t) == 1), F.lit("Allow: ")).otherwise(F.lit("Disallow: ")),
-                _rule_path(F.substr(t, F.lit(2))),
-            ),
+        delay = F.transform(
+            F.slice(F.reverse(_delay_texts(group)), 1, 1), lambda t: F.concat(F.lit("Crawl-delay: "), _number(t))
         )
-        return F.array_join(
-            F.concat(
-                agents,
-                F.transform(F.slice(F.reverse(delays), 1, 1), lambda t: F.concat(F.lit("Crawl-delay: "), _number(t))),
-                F.transform(
-                    F.slice(F.reverse(rates), 1, 1),
-                    lambda t: F.concat(
-                        F.lit("Request-rate: "),
-                        _number(_strip(F.substring_index(t, "/", 1))),
-                        F.lit("/"),
-                        _number(_strip(F.substring_index(t, "/", -1))),
-                    ),
-                ),
-                rules,
-            ),
-            "\n",
+        rate = F.transform(
+            F.slice(F.reverse(_rate_texts(group)), 1, 1),
+            lambda t: F.concat(F.lit("Request-rate: "), F.array_join(F.transform(t, _number), "/")),
         )
+        lines = F.concat(F.transform(_values(group, "u"), agent_line), delay, rate, F.transform(_values(group, "ad"), rule_line))
+        return F.array_join(lines, "\n")
 
     return F.array_join(F.transform(robots_groups(robots), block), "\n\n")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
+_SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 
 # Characters that stand for themselves, as regular-expression classes.
 _UNRESERVED = r"A-Za-z0-9_.~\-"
@@ -37,11 +37,11 @@ def _escape_char(piece: Column) -> Column:
 
 def _map_escapes(text: Column, rewrite) -> Column:
     """Rewrite every ``%XX`` of ``text``, in which each ``%`` starts a well-formed escape."""
-    pieces = F.split(text, "%")
-    head = F.element_at(pieces, 1)
-    tail = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    done = F.transform(tail, lambda p: F.concat(rewrite(p), F.substring(p, 3, 2147483647)))
-    return F.when(F.instr(text, "%") == 0, text).otherwise(F.concat(head, F.array_join(done, "")))
+
+    def piece(p: Column, i: Column) -> Column:
+        return F.when(i == 0, p).otherwise(F.concat(rewrite(p), F.substr(p, F.lit(3))))
+
+    return F.array_join(F.transform(F.split(text, "%"), piece), "")
 
 
 def _unescape_where(char_class: str, extra: dict[str, str] | None = None):
@@ -64,17 +64,21 @@ def percent_decode(text: Column) -> Column:
     return F.when(F.instr(text, "%") == 0, text).otherwise(F.url_decode(safe))
 
 
+def _base(url: Column) -> Column:
+    """URL without query and fragment."""
+    return F.substring_index(F.substring_index(_cleaned(url), "#", 1), "?", 1)
+
+
 def scheme_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(_cleaned(url), _SCHEME, 1))
+    return F.lower(F.regexp_extract(_cleaned(url), f"^({_SCHEME}):", 1))
 
 
 def netloc_of(url: Column) -> Column:
-    return F.regexp_extract(_cleaned(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
+    return F.regexp_extract(_base(url), f"^(?:{_SCHEME}:)?//([^/]*)", 1)
 
 
 def path_of(url: Column) -> Column:
-    base = F.substring_index(F.substring_index(_cleaned(url), "#", 1), "?", 1)
-    return F.regexp_replace(base, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?", "")
+    return F.regexp_replace(_base(url), f"^(?:{_SCHEME}:)?(?://[^/]*)?", "")
 
 
 def query_of(url: Column) -> Column:
@@ -152,17 +156,19 @@ def canonical_query(query: Column) -> Column:
     return F.when((query == "") | single, query).otherwise(joined)
 
 
-def _canonical_body(url: Column) -> Column:
-    """The canonical URL with ``http://`` in front, for URLs that need the full treatment."""
-    scheme, netloc, path, query = scheme_of(url), netloc_of(url), path_of(url), query_of(url)
-    has_netloc = netloc != ""
+def _canonical_tail(path: Column, query: Column) -> Column:
+    """Canonical path and query; the question mark goes if no pair is left."""
     full_path = F.when(path == "", F.lit("/")).otherwise(canonical_path(path))
-    pairs = canonical_query(query)
-    tail = F.concat(full_path, F.when(pairs == "", F.lit("")).otherwise(F.concat(F.lit("?"), pairs)))
-    other = F.when((scheme == "") | scheme.isin("http", "https"), F.lit("")).otherwise(
-        F.concat(scheme, F.when(has_netloc, F.lit("://")).otherwise(F.lit(":")))
+    pairs = F.when(query == "", query).otherwise(
+        F.regexp_replace(F.concat(F.lit("?"), canonical_query(query)), r"^\?$", "")
     )
-    return F.concat(F.lit("http://"), other, canonical_netloc(netloc), tail)
+    return F.concat(full_path, pairs)
+
+
+def _canonical_origin(url: Column) -> Column:
+    """``http://``, then any scheme but http(s), then the host."""
+    other = F.regexp_extract(F.lower(_base(url)), f"^(?!https?:)({_SCHEME.lower()}:(?://)?)", 1)
+    return F.concat(F.lit("http://"), other, canonical_netloc(netloc_of(url)))
 
 
 def canonicalize_url(url: Column, base: Column | None = None) -> Column:
@@ -171,15 +177,14 @@ def canonicalize_url(url: Column, base: Column | None = None) -> Column:
     Relative links resolve against the host root, not the page's directory, and a
     scheme-relative ``//host/x`` becomes ``http://host/x``.
     """
-    plain = F.when(
-        url.rlike(_ALREADY_CANONICAL), F.concat(F.lit("http://"), _after(url, "://"))
-    ).otherwise(_canonical_body(url))
-    if base is None:
-        return plain
-    relative = F.substr(_canonical_body(url), F.lit(len("http://") + 1))
-    slash = F.when(relative.startswith("/"), F.lit("")).otherwise(F.lit("/"))
-    on_host = F.concat(url_domain(base), slash, relative)
-    return F.when(netloc_of(url) == "", on_host).otherwise(plain)
+    origin, path = _canonical_origin(url), path_of(url)
+    if base is not None:
+        hostless = netloc_of(url) == ""
+        origin = F.when(hostless, url_domain(base)).otherwise(origin)
+        path = F.when(hostless, F.regexp_replace(_base(url), "^(?!/)", "/")).otherwise(path)
+    return F.when(url.rlike(_ALREADY_CANONICAL), F.concat(F.lit("http://"), _after(url, "://"))).otherwise(
+        F.concat(origin, _canonical_tail(path, query_of(url)))
+    )
 
 
 def resolve_link(href: Column, page_url: Column) -> Column:

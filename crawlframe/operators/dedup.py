@@ -37,11 +37,12 @@ def content_firsts(
     pages: DataFrame, html: str = "html", seq: str = "seq", at: str = "accessed_s", known: DataFrame | None = None
 ) -> DataFrame:
     """(html_hash, seq) of the first page of each content; contents in ``known.html_hash`` have none."""
-    hashed = pages.select(seq, at, content_hash(F.col(html)).alias("html_hash")).where(F.col("html_hash").isNotNull())
-    firsts = hashed.groupBy("html_hash").agg(F.min(F.struct(at, seq)).alias("_first"))
+    place = F.struct(F.col(at).alias("at"), F.col(seq).alias("seq"))
+    hashed = pages.select(place.alias("_place"), content_hash(F.col(html)).alias("html_hash")).where(F.col("html_hash").isNotNull())
+    firsts = hashed.groupBy("html_hash").agg(F.min("_place").alias("_first"))
     if known is not None:
         firsts = firsts.join(known.select("html_hash"), "html_hash", "left_anti")
-    return firsts.select("html_hash", F.col("_first")[seq].alias(seq))
+    return firsts.select("html_hash", F.col("_first")["seq"].alias(seq))
 
 
 def content_repeats(pages: DataFrame, firsts: DataFrame, html: str = "html", seq: str = "seq") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlframe.functions.content import IMAGE_EXTENSIONS, extension_datatype, fetch_extension, fetch_route
+from crawlframe.functions.content import IMAGE_EXTENSIONS, extension_datatype, extension_route, fetch_extension
 from crawlframe.functions.content import default_status as status_or_default
 from crawlframe.functions.domains import DEFAULT_SUFFIXES, host_name, registered_domain
 from crawlframe.schema import REGISTERED_DOMAINS
@@ -60,11 +60,10 @@ def filter_empty_refs(df: DataFrame, ref: str) -> DataFrame:
 
 def route_fetches(fetches: DataFrame) -> DataFrame:
     """Add extension, data type and route of each fetch."""
-    extension = fetch_extension(F.col("content_type"), F.col("url"))
-    return fetches.withColumns({
-        "extension": extension,
-        "data_type_code": extension_datatype(extension),
-        "route": fetch_route(F.col("content_type"), F.col("url")),
+    typed = fetches.withColumn("extension", fetch_extension(F.col("content_type"), F.col("url")))
+    return typed.withColumns({
+        "data_type_code": extension_datatype(F.col("extension")),
+        "route": extension_route(F.col("extension")),
     })
 
 

@@ -102,10 +102,8 @@ def code_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("write_pages")
 def write_pages(spark: SparkSession, sf: str) -> DataFrame:
-    fetches = derived.fetches(spark, sf)
-    table = page_plans.page_table(page_plans.page_rows(fetches), derived.stored_sites(spark, sf))
     path = run_dir(spark, "page")
-    sinks.write_pages(page_plans.with_html(table, fetches), path)
+    page_plans.store_pages(derived.fetches(spark, sf), derived.stored_sites(spark, sf), path)
     return tables.scan_pages(spark, path).select(
         "id", "site_id", "page_type_code", "url", F.octet_length("html_content").cast("long").alias("html_bytes"),
         "http_status_code", F.unix_seconds("accessed_time").alias("accessed_s"),
@@ -421,11 +419,10 @@ def avg_documents_per_page(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("crawl_summary")
 def crawl_summary(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _page_rows(spark, sf)
-    sites = derived.stored_sites(spark, sf)
-    pages = store.attach_site(rows, sites)
-    all_sites = sites.select("domain").unionByName(store.missing_seed_sites(rows.select("domain").distinct(), sites))
-    return reports.crawl_summary(all_sites, pages, derived.images(spark, sf), derived.page_data(spark, sf))
+    rows = _page_rows(spark, sf).select(F.col("domain").alias("site_id"), "page_type_code")
+    stored = derived.stored_sites(spark, sf).select("domain")
+    all_sites = stored.unionByName(rows.select(F.col("site_id").alias("domain"))).distinct()
+    return reports.crawl_summary(all_sites, rows, derived.images(spark, sf), derived.page_data(spark, sf))
 
 
 @query("unique_violations")
@@ -606,12 +603,8 @@ def robots_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("robots_limits")
 def robots_limits(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.col("robots_content")
-    rate = robots.robots_request_rate(text)
-    return derived.sites(spark, sf).select(
-        "domain", rate["requests"].alias("requests"), rate["seconds"].alias("seconds"),
-        robots.robots_crawl_delay(text).alias("crawl_delay"), robots.robots_limit(text).alias("limit_s"),
-    )
+    limits = robots.robots_limits(F.col("robots_content"))
+    return derived.sites(spark, sf).select("domain", limits.alias("l")).select("domain", "l.*")
 
 
 @query("robots_sitemaps")

@@ -240,8 +240,8 @@ FROM fx_hrefs h JOIN page_domains d USING (page_id) WHERE h.href IS NOT NULL AND
 
 PARTS["shaped"] = r"""
 SELECT *, d2.domain || CASE WHEN path = '' THEN '/' ELSE path END
-    || CASE WHEN contains(href, '?') THEN '?' || list_aggregate(list_sort(list_transform(list_filter(pairs, lambda x: x <> ''), lambda x:
-      replace(replace(CASE WHEN contains(x, '=') THEN x ELSE x || '=' END, ' ', '+'), 'é', '%C3%A9'))), 'string_agg', '&') ELSE '' END AS own
+    || CASE WHEN contains(href, '?') THEN '?' || list_aggregate(list_transform(list_sort(list_filter(pairs, lambda x: x <> '')), lambda x:
+      replace(replace(CASE WHEN contains(x, '=') THEN x ELSE x || '=' END, ' ', '+'), 'é', '%C3%A9')), 'string_agg', '&') ELSE '' END AS own
 FROM (SELECT *, regexp_extract(base, '(?i)^https?://[^/]*(.*)', 1) || CASE WHEN pos = 13 AND NOT contains(url, '?') AND NOT contains(url, '#')
         THEN '&z=a%20b&%C3%A9=' || page_id ELSE '' END AS path_in FROM resolved) r,
   LATERAL (SELECT r.domain AS domain, CASE WHEN pos = 13 AND NOT contains(url, '?') AND NOT contains(url, '#')
@@ -390,14 +390,14 @@ SELECT constraint_name, key, count(*) AS n_rows FROM (
   UNION ALL SELECT 'fk_page_data_data_type', data_type_code FROM fx_page_data WHERE data_type_code NOT IN ('PDF', 'DOC', 'DOCX', 'PPT', 'PPTX')
 ) v GROUP BY 1, 2""")
 recursive_oracle("resolve_host_redirects", ["fx_sites", "fx_redirects"], """
-, walk(domain, at, tries, visited) AS (
+, walk(domain, place, tries, visited) AS (
   SELECT domain, domain, 1, [domain] FROM fx_redirects
   UNION ALL
   SELECT w.domain, r.location, w.tries + 1, list_append(w.visited, r.location)
-  FROM walk w JOIN fx_redirects r ON r.domain = w.at
+  FROM walk w JOIN fx_redirects r ON r.domain = w.place
   WHERE w.tries < 3 AND r.robots_content = '' AND r.status BETWEEN 300 AND 399 AND r.location IS NOT NULL AND NOT list_contains(w.visited, r.location))
-SELECT w.domain, w.at AS final_domain, w.tries, r.robots_content
-FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY tries DESC) AS k FROM walk) w JOIN fx_redirects r ON r.domain = w.at WHERE k = 1""")
+SELECT w.domain, w.place AS final_domain, w.tries, r.robots_content
+FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY tries DESC) AS k FROM walk) w JOIN fx_redirects r ON r.domain = w.place WHERE k = 1""")
 
 oracle("count_sites", ["fx_sites"], "SELECT count(*) AS n_sites FROM fx_sites")
 oracle("count_pages", [], "SELECT count(*) AS n_pages FROM pages")

@@ -15,6 +15,8 @@ from crawlframe.operators import filters
 from crawlframe.operators.dedup import dedup_by_url
 from crawlframe.operators.ids import assign_ids
 from crawlframe.operators.store import attach_site, links_not_seen, links_not_stored
+from crawlframe.session import checkpointed
+from crawlframe.sources.store import write_pages
 
 
 def page_rows(fetches: DataFrame) -> DataFrame:
@@ -53,7 +55,7 @@ def page_rows(fetches: DataFrame) -> DataFrame:
 
 
 def page_table(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    """Narrow page rows with site ids and page ids."""
+    """Narrow page rows with site ids and page ids. Reads ``rows`` several times: pass a stored table."""
     return assign_ids(attach_site(rows, sites), "url")
 
 
@@ -65,6 +67,18 @@ def with_html(pages: DataFrame, fetches: DataFrame) -> DataFrame:
     return kept.unionByName(others)
 
 
+def store_pages(fetches: DataFrame, sites: DataFrame, path: str, batch_id: int | None = None) -> DataFrame:
+    """Write the page rows of a set of fetches; returns them without their texts.
+
+    The narrow rows are checkpointed before sites and ids are attached, so the texts are hashed
+    once.
+    """
+    rows = checkpointed(page_rows(fetches))
+    table = page_table(rows, sites)
+    write_pages(with_html(table, fetches), path, batch_id)
+    return table
+
+
 def page_hrefs(pages: DataFrame, html: str = "html") -> DataFrame:
     """Links of pages as (seq, parent_url, pos, href), empty and non-web ones left out."""
     found = pages.select("seq", F.col("url").alias("parent_url"), F.posexplode(extract_links(F.col(html))).alias("pos", "href"))
