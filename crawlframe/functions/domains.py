@@ -59,8 +59,7 @@ def registered_domain(host: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES)
     def parts(at: Column) -> Column:
         return F.struct(
             F.array_join(F.slice(labels, F.lit(1), F.greatest(at - 2, F.lit(0))), ".").alias("subdomain"),
-            F.when(at == 0, host).otherwise(F.coalesce(F.try_element_at(labels, F.nullif(F.greatest(at - 1, F.lit(0)), F.lit(0))), F.lit("")))
-            .alias("domain"),
+            F.when(at == 0, host).otherwise(F.coalesce(F.get(labels, at - 2), F.lit(""))).alias("domain"),
             F.when((at > 0) & (at <= n), tail(F.greatest(at, F.lit(1)))).otherwise(F.lit("")).alias("suffix"),
         )
 

@@ -30,32 +30,34 @@ def _cleaned(url: Column) -> Column:
     return F.ltrim(F.translate(url, "\t\r\n", ""))
 
 
-def _escape_char(piece: Column) -> Column:
-    """The byte named by the two hex digits a piece starts with, as a Latin-1 character."""
-    return F.decode(F.unhex(F.substring(piece, 1, 2)), "ISO-8859-1")
+def _byte(digits: Column) -> Column:
+    """The byte written as two hex digits, as a Latin-1 character."""
+    return F.decode(F.unhex(digits), "ISO-8859-1")
 
 
-def _map_escapes(text: Column, rewrite) -> Column:
-    """Rewrite every ``%XX`` of ``text``, in which each ``%`` starts a well-formed escape."""
+def _map_pieces(encoded: Column, rewrite) -> Column:
+    """Rewrite the pieces of a text behind its percent signs; the one before the first stays."""
+    done = F.transform(F.split(encoded, "%"), lambda p, i: F.when(i == 0, p).otherwise(rewrite(p)))
+    return F.array_join(done, "")
 
-    def piece(p: Column, i: Column) -> Column:
-        return F.when(i == 0, p).otherwise(F.concat(rewrite(p), F.substr(p, F.lit(3))))
 
-    return F.array_join(F.transform(F.split(text, "%"), piece), "")
+def _settle_escapes(encoded: Column, plain: str, unescaped: str, space: str) -> Column:
+    """Final form of a text that was percent-encoded as a whole.
 
-
-def _unescape_where(char_class: str, extra: dict[str, str] | None = None):
-    """Rewriter: decode an escape whose character is in the class, upper-case the others."""
+    An escape of the text before that step shows as ``%25XX``. Characters of the class ``plain``
+    are restored, escapes of the class ``unescaped`` decoded (a space as ``space``), the others
+    kept in upper case.
+    """
 
     def rewrite(piece: Column) -> Column:
-        char = _escape_char(piece)
-        kept = F.concat(F.lit("%"), F.upper(F.substring(piece, 1, 2)))
-        out = F.when(char.rlike(f"^[{char_class}]$"), char)
-        for source, target in (extra or {}).items():
-            out = out.when(char == source, F.lit(target))
-        return out.otherwise(kept)
+        was_escape = piece.rlike("^25[0-9A-Fa-f]{2}")
+        digits = F.upper(F.when(was_escape, F.substring(piece, 3, 2)).otherwise(F.substring(piece, 1, 2)))
+        rest = F.when(was_escape, F.substr(piece, F.lit(5))).otherwise(F.substr(piece, F.lit(3)))
+        literal = F.when(was_escape, _byte(digits).rlike(f"^[{unescaped}]$")).otherwise(_byte(digits).rlike(f"^[{plain}]$"))
+        kept = F.when(digits == "20", F.lit(space)).otherwise(F.concat(F.lit("%"), digits))
+        return F.concat(F.when(literal, _byte(digits)).otherwise(kept), rest)
 
-    return rewrite
+    return _map_pieces(encoded, rewrite)
 
 
 def percent_decode(text: Column) -> Column:
@@ -114,24 +116,21 @@ def canonical_path(path: Column) -> Column:
     canonicalised again.
     """
     encoded = F.replace(F.url_encode(path), F.lit("+"), F.lit("%20"))
-    literal = _map_escapes(encoded, _unescape_where(_PATH_SAFE))
-    restored = F.regexp_replace(literal, "%25([0-9A-Fa-f]{2})", "%$1")
-    normal = _map_escapes(restored, _unescape_where(_PATH_SAFE.replace("/?", "")))
+    normal = _settle_escapes(encoded, _PATH_SAFE, _PATH_SAFE.replace("/?", ""), "%20")
     return F.when(path.rlike(f"^[{_PATH_SAFE}]*$"), path).otherwise(normal)
 
 
 def _form_text(text: Column) -> Column:
     """Form encoding of a query name or value that may already carry escapes."""
-    encoded = F.replace(F.url_encode(F.replace(text, F.lit("+"), F.lit(" "))), F.lit("+"), F.lit("%20"))
-    starred = F.replace(encoded, F.lit("*"), F.lit("%2A"))
-    restored = F.regexp_replace(starred, "%25([0-9A-Fa-f]{2})", "%$1")
-    normal = _map_escapes(restored, _unescape_where(_UNRESERVED, {" ": "+"}))
+    encoded = F.replace(F.url_encode(F.replace(text, F.lit("+"), F.lit(" "))), F.lit("*"), F.lit("%2A"))
+    normal = _settle_escapes(encoded, _UNRESERVED, _UNRESERVED, "+")
     return F.when(text.rlike(f"^[{_UNRESERVED}+]*$"), text).otherwise(normal)
 
 
 def _byte_order(form: Column) -> Column:
     """Decoded bytes of a form-encoded text as Latin-1, which sorts in byte order."""
-    return _map_escapes(F.replace(form, F.lit("+"), F.lit(" ")), _escape_char)
+    spaced = F.replace(form, F.lit("+"), F.lit(" "))
+    return _map_pieces(spaced, lambda p: F.concat(_byte(F.substring(p, 1, 2)), F.substr(p, F.lit(3))))
 
 
 def canonical_query(query: Column) -> Column:
