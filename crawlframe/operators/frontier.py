@@ -48,42 +48,44 @@ def politeness_slots(
     max over k <= n of (arrival(k) - k * limit)``: a running maximum. A hot host is cut into
     pieces; a piece needs of the earlier ones only their row count and maximum.
 
-    ``last_slots`` (host, last_slot_us) continues from earlier requests. With
-    ``first_fetch_waits`` the clock of a host starts at its first arrival.
+    ``last_slots`` (host, last_slot_us) continues from earlier requests: a host's last slot goes
+    in as its request number 0, which costs no join. With ``first_fetch_waits`` the clock of a
+    host without one starts at its first arrival.
     """
     key = "host"
-    cut = split_hot_groups(requests, key, "arrival_us", min_rows, pieces)
-    local = piece_window(key, "arrival_us", "seq")
-    numbered = cut.withColumn("_n", F.row_number().over(local).cast("long")).withColumn(
-        "_v", F.col("arrival_us") - F.col("_n") * F.col("limit_us")
+    rows = requests.withColumn("_new", F.lit(1))
+    if last_slots is not None:
+        rows = rows.unionByName(
+            last_slots.select(key, F.col("last_slot_us").alias("arrival_us"), F.lit(0).alias("_new")), allowMissingColumns=True
+        )
+    cut = split_hot_groups(rows, key, "arrival_us", min_rows, pieces).withColumn(
+        PIECE, F.when(F.col("_new") == 1, F.col(PIECE)).otherwise(F.lit(0))
     )
-    running = numbered.withColumn("_run", F.max("_v").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    local = piece_window(key, "_new", "arrival_us", "seq")
+    so_far = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    limit = F.coalesce("limit_us", F.lit(0))
+    numbered = cut.withColumn("_n", F.sum("_new").over(so_far)).withColumn("_v", F.col("arrival_us") - F.col("_n") * limit)
+    running = numbered.withColumn("_run", F.max("_v").over(so_far)).withColumn("_open", F.first("arrival_us").over(so_far))
 
     earlier = earlier_pieces(key)
     summary = (
         numbered.where(F.col(BOUNDS).isNotNull())
         .groupBy(key, PIECE)
-        .agg(F.count("*").alias("_m"), F.max("_v").alias("_vmax"), F.max("limit_us").alias("_limit"))
+        .agg(F.sum("_new").alias("_m"), F.max("_v").alias("_vmax"), F.max("limit_us").alias("_limit"),
+             F.min_by("arrival_us", F.struct("_new", "arrival_us")).alias("_start"))
         .withColumn("_before", F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
         .withColumn("_prior", F.max(F.col("_vmax") - F.col("_before") * F.col("_limit")).over(earlier))
-        .select(key, PIECE, "_before", "_prior")
+        .select(key, PIECE, "_before", "_prior", F.first("_start").over(earlier).alias("_opened"))
     )
-    joined = running.join(F.broadcast(summary), [key, PIECE], "left")
+    joined = running.join(F.broadcast(summary), [key, PIECE], "left").where("_new = 1")
 
-    floors = []
-    if last_slots is not None:
-        joined = joined.join(last_slots.select(key, "last_slot_us"), key, "left")
-        floors.append(F.col("last_slot_us"))
+    before = F.coalesce("_before", F.lit(0))
+    best = F.greatest(F.col("_run") - before * limit, F.col("_prior"))
     if first_fetch_waits:
-        opened = requests.groupBy(key).agg(F.min("arrival_us").alias("_opened"))
-        joined = joined.join(opened, key, "left")
-        # A host with an earlier slot has its clock running already.
-        floors.append(F.when(F.col("last_slot_us").isNull(), F.col("_opened")) if last_slots is not None else F.col("_opened"))
-
-    before = F.coalesce(F.col("_before"), F.lit(0))
-    n = F.col("_n") + before
-    best = F.greatest(F.col("_run") - before * F.col("limit_us"), F.col("_prior"), *floors)
-    return joined.select(*[F.col(c) for c in requests.columns], (n * F.col("limit_us") + best).alias("slot_us"))
+        # The first row of a host is its last slot, where it has one, else its first arrival.
+        best = F.greatest(best, F.coalesce("_opened", "_open"))
+    slot = (F.col("_n") + before) * limit + best
+    return joined.select(*[F.col(c) for c in requests.columns], slot.alias("slot_us"))
 
 
 def fetch_batch(queue: DataFrame, clocks: DataFrame, now_us: int, workers: int = 8) -> DataFrame:

@@ -63,8 +63,9 @@ def robots_match(urls: DataFrame, sites: DataFrame, url: str = "url", domain: st
     The rules of a host are one array on its site row, so a URL meets exactly one row and the
     first matching rule is picked in place: no prefix join and no grouping afterwards.
     """
-    rules = sites.select(F.col("domain").alias(domain), robots_rules(F.col("robots_content")).alias("_rules"))
-    rules = rules.where(F.size("_rules") > 0)
+    # A text without an agent line has no rules; its host needs no row in the join.
+    ruled = sites.where(F.col("robots_content").rlike("(?i)user-agent"))
+    rules = ruled.select(F.col("domain").alias(domain), robots_rules(F.col("robots_content")).alias("_rules"))
     return urls.join(rules, domain, "left").select(
         *[F.col(c) for c in urls.columns], rules_allow(F.col("_rules"), F.col(url)).alias("allowed")
     )

@@ -200,7 +200,11 @@ def marked_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sitemap_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    """(domain, pos, body): the URLs of each host's pages as sitemap parts, in page order."""
-    return pages(spark, sf).select(
-        _host(F.col("url")).alias("domain"), F.col("page_id").alias("pos"), _cat("<loc>", F.col("url"), "</loc>").alias("body")
+    """(domain, pos, body): three sitemap bodies of every site, not in order."""
+    host = F.substr("domain", F.lit(8))
+    parts = F.array(
+        F.struct(F.lit(2).alias("pos"), F.col("sitemap_content").alias("body")),
+        F.struct(F.lit(0).alias("pos"), _cat("<urlset>", host, "</urlset>").alias("body")),
+        F.struct(F.lit(10).alias("pos"), _cat("<url>", F.col("id").cast("string"), "</url>").alias("body")),
     )
+    return sites(spark, sf).select("domain", F.inline(parts))

@@ -433,8 +433,8 @@ UNION ALL SELECT 'pk_page_id', CAST(page_id AS VARCHAR), count(*) FROM pages GRO
 UNION ALL SELECT 'pk_page_data_id', CAST(id AS VARCHAR), count(*) FROM fx_page_data GROUP BY id HAVING count(*) > 1
 UNION ALL SELECT 'pk_link', concat(src, ',', dst), count(*) FROM fx_edges GROUP BY src, dst HAVING count(*) > 1""")
 oracle("frontier_queue_lengths", _LINKS, "SELECT host, count(*) AS queued FROM fx_links GROUP BY host")
-oracle("concat_sitemaps", ["page_domains"], """
-SELECT domain, string_agg('<loc>' || url || '</loc>', '' ORDER BY page_id) AS sitemap_content FROM page_domains GROUP BY domain""")
+oracle("concat_sitemaps", ["fx_sites"], """
+SELECT domain, '<urlset>' || substr(domain, 8) || '</urlset>' || sitemap_content || '<url>' || id || '</url>' AS sitemap_content FROM fx_sites""")
 _TABLE = ["n_pages", "fx_edges", "fx_link_table"]
 for _name in ("graph_nodes", "ordered_nodes"):
     oracle(_name, _TABLE, "SELECT DISTINCT from_page FROM fx_link_table ORDER BY 1")

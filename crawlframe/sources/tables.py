@@ -46,7 +46,8 @@ def bootstrap_source(frontier: DataFrame, sites: DataFrame) -> DataFrame:
 def concat_sitemaps(bodies: DataFrame) -> DataFrame:
     """(domain, sitemap_content): the bodies of a host's sitemaps joined in listed order.
 
-    ``bodies`` has (domain, pos, body). The result of a host is one cell by definition.
+    ``bodies`` has (domain, pos, body), one row per sitemap line of the host's robots text; the
+    result of a host is one cell by definition.
     """
     ordered = F.array_sort(F.collect_list(F.struct("pos", "body")))
     return bodies.groupBy("domain").agg(F.array_join(F.transform(ordered, lambda s: s["body"]), "").alias("sitemap_content"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,14 +14,23 @@ from crawlframe.streaming.batches import earlier_batches, run_batches, write_bat
 _FIRSTS = T.StructType([T.StructField("html_hash", T.StringType()), T.StructField("seq", T.LongType())])
 
 
-def stream_dedup_urls(stream: DataFrame, url: str = "url") -> DataFrame:
-    """Each canonical URL once, ever. The state keeps every URL: use the RocksDB state store."""
-    return stream.withColumn(url, canonicalize_url(stream[url])).dropDuplicates([url])
+def stream_dedup_urls(stream: DataFrame, url: str = "url", spread: str | None = None, salts: int = 32) -> DataFrame:
+    """Each canonical URL once, ever. The state keeps every URL: use the RocksDB state store.
+
+    Rows of a URL meet in one task. ``spread`` names a column that differs between copies; a
+    first pass then drops copies per (URL, hash of that column), so that a URL with very many
+    copies is spread over many tasks and at most ``salts`` of its rows reach the second pass.
+    """
+    canonical = stream.withColumn(url, canonicalize_url(stream[url]))
+    if spread is not None:
+        salted = canonical.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+        canonical = salted.dropDuplicates([url, "_salt"]).drop("_salt")
+    return canonical.dropDuplicates([url])
 
 
-def start_dedup_urls(stream: DataFrame, root: str) -> StreamingQuery:
+def start_dedup_urls(stream: DataFrame, root: str, spread: str | None = None) -> StreamingQuery:
     return (
-        stream_dedup_urls(stream)
+        stream_dedup_urls(stream, spread=spread)
         .writeStream.format("parquet")
         .option("path", f"{root}/urls")
         .option("checkpointLocation", f"{root}/checkpoint")
