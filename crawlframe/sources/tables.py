@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlframe import schema
 from crawlframe.functions.robots import sitemap_locations
+from crawlframe.functions.urls import url_domain
 from crawlframe.operators.filters import sites_with_sitemap
 
 
@@ -20,8 +23,7 @@ def scan_sites(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_pages(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Page table; only the named columns are read."""
-    pages = spark.read.schema(schema.PAGE).parquet(path)
-    return pages.select(*columns) if columns else pages
+    return spark.read.schema(schema.PAGE).parquet(path).select(*(columns or schema.PAGE.names))
 
 
 def code_tables(spark: SparkSession) -> DataFrame:
@@ -30,6 +32,12 @@ def code_tables(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "code_table string, code string")
 
 
+def host_list(spark: SparkSession, hosts: Sequence[str]) -> DataFrame:
+    """(domain): host keys of host names or URLs, for include, exclude and seed lists."""
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string")
+    return rows.select(url_domain(F.col("host")).alias("domain")).distinct()
+
+
 def seed_table(sites: DataFrame) -> DataFrame:
     """Start set (parent_url, url): every site's domain and its sitemap's locations, repeats kept."""
     domains = sites.select(F.col("domain").alias("url"))
