@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SKIPPED = r"<!--.*?(?:-->|\z)|<script\b.*?(?:</script|\z)|<style\b.*?(?:</style|\z)"
+_SKIPPED = r"!--.*?(?:-->|\z)|script\b.*?(?:</script|\z)|style\b.*?(?:</style|\z)"
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 
 
 def _attribute_pattern(tags: str, attribute: str) -> str:
-    return rf"(?is){_SKIPPED}|<(?:{tags})(?:\s[^>]*?)?[\s/]{attribute}\s*=\s*{_VALUE}"
+    return rf"(?is)<(?:{_SKIPPED}|(?:{tags})(?:\s[^>]*?)?[\s/]{attribute}\s*=\s*{_VALUE})"
 
 
 LINK_PATTERN = _attribute_pattern("a", "href")

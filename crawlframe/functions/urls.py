@@ -16,8 +16,13 @@ _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 _UNRESERVED = r"A-Za-z0-9_.~\-"
 _PATH_SAFE = _UNRESERVED + r":/?\[\]@!$&'()*+,;=|"
 
-# An http(s) URL that needs no more than its scheme folded.
-_ALREADY_CANONICAL = r"^https?://[a-z0-9.\-]+(?::[0-9]+)?/[A-Za-z0-9_.~\-:/@!$&'()*+,;=]*$"
+# Escapes that a canonical path keeps: of bytes above ASCII and of characters that are not safe.
+_KEPT_ESCAPE = "%(?:[89A-F][0-9A-F]|[01][0-9A-F]|2[0235F]|3[CEF]|5[CE]|60|7[BDF])"
+# The quantifiers on groups are possessive: matched without recursion, however long the text.
+_SETTLED_PATH = f"(?:[{_PATH_SAFE}]|{_KEPT_ESCAPE})*+"
+_SETTLED_QUERY = f"[{_UNRESERVED}]++=[{_UNRESERVED}]*+(?:&[{_UNRESERVED}]++=[{_UNRESERVED}]*+)*+"
+# An http(s) URL that needs no more than its scheme folded and its query pairs sorted.
+_SETTLED_URL = rf"^https?://[a-z0-9.\-]+(?::[0-9]+)?/[{_PATH_SAFE.replace('?', '')}]*+(?:\?{_SETTLED_QUERY})?$"
 
 
 def _after(text: Column, mark: str) -> Column:
@@ -104,9 +109,9 @@ def url_parts(url: Column) -> Column:
 
 def canonical_netloc(netloc: Column) -> Column:
     """Lower-case the host after the last ``@`` and drop trailing colons."""
-    user = F.regexp_extract(netloc, r"^(.*@)", 1)
+    user = F.when(F.instr(netloc, "@") > 0, F.regexp_extract(netloc, r"^(.*@)", 1)).otherwise(F.lit(""))
     host = F.lower(F.substring_index(netloc, "@", -1))
-    return F.concat(user, F.regexp_replace(host, ":+$", ""))
+    return F.concat(user, F.rtrim(host, F.lit(":")))
 
 
 def canonical_path(path: Column) -> Column:
@@ -117,7 +122,7 @@ def canonical_path(path: Column) -> Column:
     """
     encoded = F.replace(F.url_encode(path), F.lit("+"), F.lit("%20"))
     normal = _settle_escapes(encoded, _PATH_SAFE, _PATH_SAFE.replace("/?", ""), "%20")
-    return F.when(path.rlike(f"^[{_PATH_SAFE}]*$"), path).otherwise(normal)
+    return F.when(path.rlike(f"^{_SETTLED_PATH}$"), path).otherwise(normal)
 
 
 def _form_text(text: Column) -> Column:
@@ -130,7 +135,16 @@ def _form_text(text: Column) -> Column:
 def _byte_order(form: Column) -> Column:
     """Decoded bytes of a form-encoded text as Latin-1, which sorts in byte order."""
     spaced = F.replace(form, F.lit("+"), F.lit(" "))
-    return _map_pieces(spaced, lambda p: F.concat(_byte(F.substring(p, 1, 2)), F.substr(p, F.lit(3))))
+    decoded = _map_pieces(spaced, lambda p: F.concat(_byte(F.substring(p, 1, 2)), F.substr(p, F.lit(3))))
+    return F.when(F.instr(form, "%") == 0, spaced).otherwise(decoded)
+
+
+def _sorted_pairs(settled: Column) -> Column:
+    """Sort the pairs of a query of unreserved characters by (name, value)."""
+    pairs = F.transform(F.split(settled, "&"), lambda p: F.struct(F.substring_index(p, "=", 1).alias("name"), p.alias("text")))
+    return F.when(F.instr(settled, "&") == 0, settled).otherwise(
+        F.array_join(F.transform(F.array_sort(pairs), lambda s: s["text"]), "&")
+    )
 
 
 def canonical_query(query: Column) -> Column:
@@ -150,9 +164,7 @@ def canonical_query(query: Column) -> Column:
             F.concat(s["name"], F.lit("="), s["value"]).alias("text"),
         ),
     )
-    joined = F.array_join(F.transform(F.array_sort(keyed), lambda s: s["text"]), "&")
-    single = query.rlike(f"^[{_UNRESERVED}]+=[{_UNRESERVED}]*$")
-    return F.when((query == "") | single, query).otherwise(joined)
+    return F.array_join(F.transform(F.array_sort(keyed), lambda s: s["text"]), "&")
 
 
 def _canonical_tail(path: Column, query: Column) -> Column:
@@ -181,9 +193,10 @@ def canonicalize_url(url: Column, base: Column | None = None) -> Column:
         hostless = netloc_of(url) == ""
         origin = F.when(hostless, url_domain(base)).otherwise(origin)
         path = F.when(hostless, F.regexp_replace(_base(url), "^(?!/)", "/")).otherwise(path)
-    return F.when(url.rlike(_ALREADY_CANONICAL), F.concat(F.lit("http://"), _after(url, "://"))).otherwise(
-        F.concat(origin, _canonical_tail(path, query_of(url)))
-    )
+    plain = F.substring_index(url, "#", 1)
+    body, pairs = F.substring_index(_after(plain, "://"), "?", 1), _after(plain, "?")
+    settled = F.concat(F.lit("http://"), body, F.when(pairs == "", pairs).otherwise(F.concat(F.lit("?"), _sorted_pairs(pairs))))
+    return F.when(plain.rlike(_SETTLED_URL), settled).otherwise(F.concat(origin, _canonical_tail(path, query_of(url))))
 
 
 def resolve_link(href: Column, page_url: Column) -> Column:
@@ -194,7 +207,8 @@ def resolve_link(href: Column, page_url: Column) -> Column:
 def url_domain(url: Column) -> Column:
     """Host key ``http://host[:port]``, ``www.`` kept, no trailing slash."""
     netloc = F.regexp_extract(_cleaned(url), r"^(?:[Hh][Tt][Tt][Pp][Ss]?:)?(?://)?([^/?#]*)", 1)
-    return F.concat(F.lit("http://"), canonical_netloc(netloc))
+    canonical = url.rlike(r"^http://[a-z0-9.\-]+(?::[0-9]+)?/")
+    return F.when(canonical, F.substring_index(url, "/", 3)).otherwise(F.concat(F.lit("http://"), canonical_netloc(netloc)))
 
 
 def url_basename(url: Column) -> Column:

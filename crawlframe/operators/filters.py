@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +47,12 @@ def filter_registered_domain(
 
     Apply it to resolved URLs; on raw hrefs it drops every relative link.
     """
-    parts = registered_domain(host_name(F.col(url)), suffixes)
     names = [f"{domain}.{suffix}" for domain, suffix in allowed]
-    return df.where(F.concat_ws(".", parts["domain"], parts["suffix"]).isin(names))
+    host = host_name(F.col(url))
+    # A host can only belong to a name it ends in: this cheap test spares most hosts the full one.
+    ends = reduce(or_, [(host == name) | host.endswith(f".{name}") for name in names], F.lit(False))
+    parts = registered_domain(host, suffixes)
+    return df.where(ends & F.concat_ws(".", parts["domain"], parts["suffix"]).isin(names))
 
 
 def filter_nonweb_links(df: DataFrame, href: str = "href") -> DataFrame:

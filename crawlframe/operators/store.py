@@ -131,39 +131,48 @@ def lookup_first(df: DataFrame, key: str, value, order: str) -> DataFrame:
     return df.where(F.col(key) == value).orderBy(order).limit(1)
 
 
-def _key_text(keys: Sequence[str]) -> Column:
-    return F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
+def _by_table(checks: Sequence[tuple], table: int) -> list[list[tuple]]:
+    """Checks grouped by the DataFrame they read, so that each table is read once."""
+    grouped: dict[int, list[tuple]] = {}
+    for check in checks:
+        grouped.setdefault(id(check[table]), []).append(check)
+    return list(grouped.values())
+
+
+def _named_keys(df: DataFrame, keys: Sequence[tuple[str, Column]]) -> DataFrame:
+    """(constraint_name, key) for each row and each named key that is not NULL."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("constraint_name"), key.alias("key")) for name, key in keys])
+    return df.select(F.inline(pairs)).where(F.col("key").isNotNull())
 
 
 def fk_violations(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Keys that refer to no row: (constraint_name, key, n_rows) for all given checks.
 
-    A check is (name, rows, foreign key, referred rows, key). Keys are counted before the join,
-    so a key that many rows share is one row in it.
+    A check is (name, rows, foreign key, referred rows, key). Every table is read once and all
+    checks share one aggregate and one join. Keys are counted before the join, so a key that many
+    rows share is one row in it.
     """
+    used = reduce(DataFrame.unionByName, [
+        _named_keys(group[0][1], [(name, F.col(fk).cast("string")) for name, _, fk, _, _ in group]) for group in _by_table(checks, 1)
+    ])
+    known = reduce(DataFrame.unionByName, [
+        _named_keys(group[0][3], [(name, F.col(key).cast("string")) for name, _, _, _, key in group]) for group in _by_table(checks, 3)
+    ])
+    counted = used.groupBy("constraint_name", "key").agg(F.count("*").alias("n_rows"))
+    return counted.join(known, ["constraint_name", "key"], "left_anti")
+
 
-    def broken(check) -> DataFrame:
-        name, rows, fk, parents, key = check
-        used = rows.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(F.count("*").alias("n_rows"))
-        known = parents.select(F.col(key).alias("_k"))
-        return used.join(known, "_k", "left_anti").select(
-            F.lit(name).alias("constraint_name"), F.col("_k").cast("string").alias("key"), "n_rows"
-        )
+def unique_violations(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """Keys that occur more than once: (constraint_name, key, n_rows). A check is (name, rows, key columns).
 
-    return reduce(DataFrame.unionByName, [broken(c) for c in checks])
+    Every table is read once; rows with a NULL in a key are left out.
+    """
 
+    def key_text(keys: Sequence[str]) -> Column:
+        texts = [F.col(k).cast("string") for k in keys]
+        return texts[0] if len(texts) == 1 else F.concat(texts[0], *[t for k in texts[1:] for t in (F.lit(","), k)])
 
-def unique_violations(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
-    """Keys that occur more than once: (constraint_name, key, n_rows). A check is (name, rows, key columns)."""
-
-    def repeated(check) -> DataFrame:
-        name, rows, keys = check
-        return (
-            rows.dropna(subset=list(keys))
-            .groupBy(*keys)
-            .agg(F.count("*").alias("n_rows"))
-            .where(F.col("n_rows") > 1)
-            .select(F.lit(name).alias("constraint_name"), _key_text(keys).alias("key"), "n_rows")
-        )
-
-    return reduce(DataFrame.unionByName, [repeated(c) for c in checks])
+    named = reduce(DataFrame.unionByName, [
+        _named_keys(group[0][1], [(name, key_text(keys)) for name, _, keys in group]) for group in _by_table(checks, 1)
+    ])
+    return named.groupBy("constraint_name", "key").agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)

@@ -14,7 +14,7 @@ from crawlframe.operators import dedup, filters, frontier, graph, reports, store
 from crawlframe.operators.ids import assign_ids
 from crawlframe.plans import derived, pages as page_plans
 from crawlframe.plans.crawl import crawl_bfs
-from crawlframe.session import run_dir
+from crawlframe.session import checkpointed, run_dir
 from crawlframe.sources import store as sinks
 from crawlframe.sources import tables
 from crawlframe.streaming import batches
@@ -131,7 +131,7 @@ def write_images(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("write_links")
 def write_links(spark: SparkSession, sf: str) -> DataFrame:
-    table = assign_ids(_page_rows(spark, sf), "url")
+    table = assign_ids(checkpointed(_page_rows(spark, sf).select("url", "parent_url", "seq")), "url")
     path = run_dir(spark, "link")
     sinks.write_links(store.first_parent_links(table), path)
     return spark.read.schema(schema.LINK).parquet(path)
@@ -300,7 +300,8 @@ def attach_site(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("first_parent_links")
 def first_parent_links(spark: SparkSession, sf: str) -> DataFrame:
-    return store.first_parent_links(_page_rows(spark, sf).withColumn("id", F.col("seq")))
+    rows = checkpointed(_page_rows(spark, sf).select(F.col("seq").alias("id"), "url", "parent_url", "seq"))
+    return store.first_parent_links(rows)
 
 
 @query("new_links_only")
@@ -428,12 +429,14 @@ def crawl_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query("unique_violations")
 def unique_violations(spark: SparkSession, sf: str) -> DataFrame:
     all_edges = derived.edges(spark, sf).withColumnsRenamed({"src": "from_page", "dst": "to_page"})
+    sites = derived.sites(spark, sf)
+    pages = _canonical(derived.pages(spark, sf).select("page_id", "url"))
     return store.unique_violations([
         ("pk_frontier_url", derived.links(spark, sf), ["url"]),
-        ("unq_domain_idx", derived.sites(spark, sf), ["domain"]),
-        ("pk_site_id", derived.sites(spark, sf), ["id"]),
-        ("unq_url_idx", _canonical(derived.pages(spark, sf)), ["url"]),
-        ("pk_page_id", derived.pages(spark, sf), ["page_id"]),
+        ("unq_domain_idx", sites, ["domain"]),
+        ("pk_site_id", sites, ["id"]),
+        ("unq_url_idx", pages, ["url"]),
+        ("pk_page_id", pages, ["page_id"]),
         ("pk_page_data_id", derived.page_data(spark, sf), ["id"]),
         ("pk_link", all_edges, ["from_page", "to_page"]),
     ])
