@@ -107,11 +107,12 @@ def url_parts(url: Column) -> Column:
     )
 
 
-def canonical_netloc(netloc: Column) -> Column:
+def _canonical_host(netloc: Column, url: Column) -> Column:
     """Lower-case the host after the last ``@`` and drop trailing colons."""
-    user = F.when(F.instr(netloc, "@") > 0, F.regexp_extract(netloc, r"^(.*@)", 1)).otherwise(F.lit(""))
-    host = F.lower(F.substring_index(netloc, "@", -1))
-    return F.concat(user, F.rtrim(host, F.lit(":")))
+    with_user = F.concat(
+        F.regexp_extract(netloc, r"^(.*@)", 1), F.rtrim(F.lower(F.substring_index(netloc, "@", -1)), F.lit(":"))
+    )
+    return F.when(F.instr(url, "@") == 0, F.rtrim(F.lower(netloc), F.lit(":"))).otherwise(with_user)
 
 
 def canonical_path(path: Column) -> Column:
@@ -179,7 +180,7 @@ def _canonical_tail(path: Column, query: Column) -> Column:
 def _canonical_origin(url: Column) -> Column:
     """``http://``, then any scheme but http(s), then the host."""
     other = F.regexp_extract(F.lower(_base(url)), f"^(?!https?:)({_SCHEME.lower()}:(?://)?)", 1)
-    return F.concat(F.lit("http://"), other, canonical_netloc(netloc_of(url)))
+    return F.concat(F.lit("http://"), other, _canonical_host(netloc_of(url), url))
 
 
 def canonicalize_url(url: Column, base: Column | None = None) -> Column:
@@ -194,8 +195,10 @@ def canonicalize_url(url: Column, base: Column | None = None) -> Column:
         origin = F.when(hostless, url_domain(base)).otherwise(origin)
         path = F.when(hostless, F.regexp_replace(_base(url), "^(?!/)", "/")).otherwise(path)
     plain = F.substring_index(url, "#", 1)
-    body, pairs = F.substring_index(_after(plain, "://"), "?", 1), _after(plain, "?")
-    settled = F.concat(F.lit("http://"), body, F.when(pairs == "", pairs).otherwise(F.concat(F.lit("?"), _sorted_pairs(pairs))))
+    rest = F.substr(plain, F.when(url.startswith("https"), F.lit(9)).otherwise(F.lit(8)))
+    at = F.instr(rest, "?")
+    paired = F.concat(F.substring_index(rest, "?", 1), F.lit("?"), _sorted_pairs(F.substr(rest, at + 1)))
+    settled = F.concat(F.lit("http://"), F.when(at == 0, rest).otherwise(paired))
     return F.when(plain.rlike(_SETTLED_URL), settled).otherwise(F.concat(origin, _canonical_tail(path, query_of(url))))
 
 
@@ -207,8 +210,9 @@ def resolve_link(href: Column, page_url: Column) -> Column:
 def url_domain(url: Column) -> Column:
     """Host key ``http://host[:port]``, ``www.`` kept, no trailing slash."""
     netloc = F.regexp_extract(_cleaned(url), r"^(?:[Hh][Tt][Tt][Pp][Ss]?:)?(?://)?([^/?#]*)", 1)
-    canonical = url.rlike(r"^http://[a-z0-9.\-]+(?::[0-9]+)?/")
-    return F.when(canonical, F.substring_index(url, "/", 3)).otherwise(F.concat(F.lit("http://"), canonical_netloc(netloc)))
+    plain = url.rlike(r"^https?://[a-z0-9.\-]+(?::[0-9]+)?/")
+    host = F.substr(F.substring_index(url, "/", 3), F.when(url.startswith("https"), F.lit(9)).otherwise(F.lit(8)))
+    return F.concat(F.lit("http://"), F.when(plain, host).otherwise(_canonical_host(netloc, url)))
 
 
 def url_basename(url: Column) -> Column:

@@ -58,26 +58,29 @@ def politeness_slots(
         rows = rows.unionByName(
             last_slots.select(key, F.col("last_slot_us").alias("arrival_us"), F.lit(0).alias("_new")), allowMissingColumns=True
         )
-    cut = split_hot_groups(rows, key, "arrival_us", min_rows, pieces).withColumn(
-        PIECE, F.when(F.col("_new") == 1, F.col(PIECE)).otherwise(F.lit(0))
-    )
+    cut, any_hot = split_hot_groups(rows, key, "arrival_us", min_rows, pieces)
+    cut = cut.withColumn(PIECE, F.when(F.col("_new") == 1, F.col(PIECE)).otherwise(F.lit(0)))
     local = piece_window(key, "_new", "arrival_us", "seq")
     so_far = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     limit = F.coalesce("limit_us", F.lit(0))
     numbered = cut.withColumn("_n", F.sum("_new").over(so_far)).withColumn("_v", F.col("arrival_us") - F.col("_n") * limit)
     running = numbered.withColumn("_run", F.max("_v").over(so_far)).withColumn("_open", F.first("arrival_us").over(so_far))
 
-    earlier = earlier_pieces(key)
-    summary = (
-        numbered.where(F.col(BOUNDS).isNotNull())
-        .groupBy(key, PIECE)
-        .agg(F.sum("_new").alias("_m"), F.max("_v").alias("_vmax"), F.max("limit_us").alias("_limit"),
-             F.min_by("arrival_us", F.struct("_new", "arrival_us")).alias("_start"))
-        .withColumn("_before", F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
-        .withColumn("_prior", F.max(F.col("_vmax") - F.col("_before") * F.col("_limit")).over(earlier))
-        .select(key, PIECE, "_before", "_prior", F.first("_start").over(earlier).alias("_opened"))
-    )
-    joined = running.join(F.broadcast(summary), [key, PIECE], "left").where("_new = 1")
+    if any_hot:
+        earlier = earlier_pieces(key)
+        summary = (
+            numbered.where(F.col(BOUNDS).isNotNull())
+            .groupBy(key, PIECE)
+            .agg(F.sum("_new").alias("_m"), F.max("_v").alias("_vmax"), F.max("limit_us").alias("_limit"),
+                 F.min_by("arrival_us", F.struct("_new", "arrival_us")).alias("_start"))
+            .withColumn("_before", F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
+            .withColumn("_prior", F.max(F.col("_vmax") - F.col("_before") * F.col("_limit")).over(earlier))
+            .select(key, PIECE, "_before", "_prior", F.first("_start").over(earlier).alias("_opened"))
+        )
+        running = running.join(F.broadcast(summary), [key, PIECE], "left")
+    else:
+        none = F.lit(None).cast("long")
+        running = running.withColumns({"_before": none, "_prior": none, "_opened": none})
 
     before = F.coalesce("_before", F.lit(0))
     best = F.greatest(F.col("_run") - before * limit, F.col("_prior"))
@@ -85,7 +88,7 @@ def politeness_slots(
         # The first row of a host is its last slot, where it has one, else its first arrival.
         best = F.greatest(best, F.coalesce("_opened", "_open"))
     slot = (F.col("_n") + before) * limit + best
-    return joined.select(*[F.col(c) for c in requests.columns], slot.alias("slot_us"))
+    return running.where("_new = 1").select(*[F.col(c) for c in requests.columns], slot.alias("slot_us"))
 
 
 def fetch_batch(queue: DataFrame, clocks: DataFrame, now_us: int, workers: int = 8) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crawlframe.session import checkpointed
+
 # A group counts as hot above 1/MAX_HOT of all rows, so there are fewer than MAX_HOT hot groups
 # and at most MAX_HOT * PIECES summary rows: what is broadcast below does not grow with the data.
 MAX_HOT = 1000
@@ -24,27 +26,38 @@ PIECE = "_piece"
 BOUNDS = "_bounds"
 
 
-def split_hot_groups(
-    df: DataFrame, key: str, order: str, min_rows: int = MIN_ROWS, pieces: int = PIECES
-) -> DataFrame:
-    """Add ``_piece``: 0 in a cold group, the rank of the row's stretch of ``order`` in a hot one.
+def hot_bounds(df: DataFrame, key: str, order: str, min_rows: int = MIN_ROWS, pieces: int = PIECES) -> DataFrame | None:
+    """(key, _bounds) of the hot groups, the bounds cutting ``order`` into pieces; None if no group is hot.
 
-    Pieces follow ``order`` and never share a value of it. ``_bounds`` is NULL in cold groups.
-    ``df`` is read once for the sizes and once for the result, so pass a stored table.
+    Runs at once, over the key column alone unless there are hot groups, and checkpoints its few
+    rows: the bounds are approximate quantiles, which a second evaluation could give differently.
     """
     sizes = df.groupBy(key).agg(F.count("*").alias("_n"))
     total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    hot = sizes.where(F.col("_n") > F.greatest(F.lit(min_rows), total / MAX_HOT)).select(key)
+    hot = checkpointed(sizes.where(F.col("_n") > F.greatest(F.lit(min_rows), total / MAX_HOT)).select(key).coalesce(1))
+    if hot.isEmpty():
+        return None
     cuts = [i / pieces for i in range(1, pieces)]
-    bounds = (
-        df.join(F.broadcast(hot), key, "left_semi")
-        .groupBy(key)
-        .agg(F.percentile_approx(order, cuts, 10000).alias(BOUNDS))
-    )
+    of_hot = df.join(F.broadcast(hot), key, "left_semi")
+    return checkpointed(of_hot.groupBy(key).agg(F.percentile_approx(order, cuts, 10000).alias(BOUNDS)).coalesce(1))
+
+
+def split_hot_groups(
+    df: DataFrame, key: str, order: str, min_rows: int = MIN_ROWS, pieces: int = PIECES
+) -> tuple[DataFrame, bool]:
+    """Add ``_piece``, and tell whether any group was cut.
+
+    The piece is 0 in a cold group and the rank of the row's stretch of ``order`` in a hot one;
+    rows of one value of ``order`` share a piece. ``_bounds`` is NULL in cold groups. ``df`` is read
+    for the group sizes and again for the result, so pass a stored table.
+    """
+    bounds = hot_bounds(df, key, order, min_rows, pieces)
+    if bounds is None:
+        return df.withColumns({PIECE: F.lit(0), BOUNDS: F.lit(None).cast("array<long>")}), False
     piece = F.size(F.filter(F.col(BOUNDS), lambda b: b < F.col(order)))
     return df.join(F.broadcast(bounds), key, "left").withColumn(
         PIECE, F.when(F.col(BOUNDS).isNull(), F.lit(0)).otherwise(piece)
-    )
+    ), True
 
 
 def piece_window(key: str, *order: str | Column) -> Window:
@@ -66,15 +79,17 @@ def rank_in_group(
     pieces: int = PIECES,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group by ``order``, then ``ties``."""
-    cut = split_hot_groups(df, key, order, min_rows, pieces)
-    before = (
-        cut.where(F.col(BOUNDS).isNotNull())
-        .groupBy(key, PIECE)
-        .agg(F.count("*").alias("_n"))
-        .select(key, PIECE, F.coalesce(F.sum("_n").over(earlier_pieces(key)), F.lit(0)).alias("_before"))
-    )
-    return (
-        cut.withColumn("_rank", F.row_number().over(piece_window(key, order, *ties)))
-        .join(F.broadcast(before), [key, PIECE], "left")
-        .select(*[F.col(c) for c in df.columns], (F.col("_rank") + F.coalesce(F.col("_before"), F.lit(0))).alias(alias))
-    )
+    cut, any_hot = split_hot_groups(df, key, order, min_rows, pieces)
+    ranked = cut.withColumn("_rank", F.row_number().over(piece_window(key, order, *ties)))
+    if any_hot:
+        before = (
+            cut.where(F.col(BOUNDS).isNotNull())
+            .groupBy(key, PIECE)
+            .agg(F.count("*").alias("_n"))
+            .select(key, PIECE, F.coalesce(F.sum("_n").over(earlier_pieces(key)), F.lit(0)).alias("_before"))
+        )
+        ranked = ranked.join(F.broadcast(before), [key, PIECE], "left")
+    else:
+        ranked = ranked.withColumn("_before", F.lit(0))
+    position = F.col("_rank") + F.coalesce(F.col("_before"), F.lit(0))
+    return ranked.select(*[F.col(c) for c in df.columns], position.cast("long").alias(alias))

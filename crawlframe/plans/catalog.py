@@ -688,7 +688,7 @@ def crawl_bfs_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def _replay(spark: SparkSession, rows: DataFrame, order: str, root: str, start: Callable[[DataFrame], object]) -> None:
     """Write ``rows`` in two parts by ``order`` and drain the stream over them after each."""
-    middle = rows.agg(F.percentile_approx(order, 0.5)).scalar()
+    middle = rows.agg(F.percentile_approx(order, 0.5)).first()[0]
     in_first = F.col(order) <= middle
     for part in (rows.where(in_first), rows.where(~in_first)):
         part.write.mode("append").parquet(f"{root}/input")

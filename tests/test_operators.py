@@ -76,7 +76,9 @@ def test_hot_group_is_cut_into_pieces(spark):
 
     df = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("host"),
                                     F.col("id").alias("seq"))
-    sizes = split_hot_groups(df, "host", "seq", min_rows=100, pieces=16).where("host = 'hot'").groupBy(PIECE).count().collect()
+    cut, any_hot = split_hot_groups(df, "host", "seq", min_rows=100, pieces=16)
+    assert any_hot and not split_hot_groups(df, "host", "seq")[1]
+    sizes = cut.where("host = 'hot'").groupBy(PIECE).count().collect()
     assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2 * 3334 / 16
 
 
