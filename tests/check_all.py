@@ -18,7 +18,9 @@ from crawlframe.session import configure  # noqa: E402
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = configure(SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"), 8).getOrCreate()
+    builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # CHECK_PLAIN=1: a session without any of our settings.
+    spark = (builder if os.environ.get("CHECK_PLAIN") else configure(builder, 8)).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, failed = connect(sf), oracle_sql(), 0
     for name, run in queries().items():
