@@ -7,7 +7,9 @@ are joined back by their own sequence number, which is never skewed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlframe.functions.content import content_hash
@@ -33,21 +35,35 @@ def first_visit(df: DataFrame, url: str = "url", order: str = "seq") -> DataFram
     )
 
 
+# A place in order, (access time, sequence number), as one number: a fixed-size value keeps the
+# minimum per group in a hash table, where a struct would have to be sorted first. Sequence numbers
+# are not negative.
+_SEQ_RANGE = Decimal(10) ** 19
+
+
+def _place(at: str, seq: str) -> Column:
+    number = F.col(at).cast("decimal(19,0)") * F.lit(_SEQ_RANGE) + F.col(seq).cast("decimal(19,0)")
+    return number.cast("decimal(38,0)")
+
+
+def _seq_of(place: Column) -> Column:
+    return F.pmod(place, F.lit(_SEQ_RANGE)).cast("long")
+
+
+def firsts_by_hash(hashed: DataFrame, seq: str, at: str) -> DataFrame:
+    """(_hash, seq) of the first row of each content hash; rows without a hash have none."""
+    firsts = hashed.where(F.col("_hash").isNotNull()).groupBy("_hash").agg(F.min(_place(at, seq)).alias("_first"))
+    return firsts.select("_hash", _seq_of(F.col("_first")).alias(seq))
+
+
 def content_firsts(
     pages: DataFrame, html: str = "html", seq: str = "seq", at: str = "accessed_s", known: DataFrame | None = None
 ) -> DataFrame:
     """(html_hash, seq) of the first page of each content; contents in ``known.html_hash`` have none."""
-    place = F.struct(F.col(at).alias("at"), F.col(seq).alias("seq"))
-    hashed = pages.select(place.alias("_place"), content_hash(F.col(html)).alias("html_hash")).where(F.col("html_hash").isNotNull())
-    firsts = hashed.groupBy("html_hash").agg(F.min("_place").alias("_first"))
-    if known is not None:
-        firsts = firsts.join(known.select("html_hash"), "html_hash", "left_anti")
-    return firsts.select("html_hash", F.col("_first")["seq"].alias(seq))
-
-
-def content_repeats(pages: DataFrame, firsts: DataFrame, html: str = "html", seq: str = "seq") -> DataFrame:
-    """Sequence numbers of the pages that are not the first of their content."""
-    return pages.where(F.col(html).isNotNull()).select(seq).join(firsts.select(seq), seq, "left_anti")
+    # The text is tested, not its hash, which would be computed once more for the test.
+    hashed = pages.where(F.col(html).isNotNull()).select(seq, F.col(at).alias("_at"), content_hash(F.col(html)).alias("_hash"))
+    firsts = firsts_by_hash(hashed, seq, "_at").withColumnRenamed("_hash", "html_hash")
+    return firsts if known is None else firsts.join(known.select("html_hash"), "html_hash", "left_anti")
 
 
 def dedup_by_content(
@@ -55,15 +71,15 @@ def dedup_by_content(
 ) -> DataFrame:
     """Label pages HTML or DUPLICATE; a duplicate loses its text and hash.
 
-    The repeats are found on hashes alone. They are joined back by sequence number without a
-    hint: a small set of repeats is broadcast, and the page texts are shuffled only if it is not.
+    The first pages are found on hashes alone, and every other sequence number is a repeat: two
+    passes, one over the texts. The repeats are joined back without a hint: a small set of them is
+    broadcast, and the page texts are shuffled only if it is not.
     """
     if firsts is None:
         firsts = content_firsts(pages, html, seq, at)
-    repeats = content_repeats(pages, firsts, html, seq).withColumn("_repeat", F.lit(True))
-    labelled = pages.join(repeats, seq, "left")
-    kept = F.col("_repeat").isNull()
-    return labelled.select(
+    repeats = pages.select(seq).join(firsts.select(seq), seq, "left_anti").withColumn("_repeat", F.lit(True))
+    kept = F.col("_repeat").isNull() | F.col(html).isNull()
+    return pages.join(repeats, seq, "left").select(
         *[F.when(kept, F.col(c)).alias(c) if c == html else F.col(c) for c in pages.columns],
         F.when(kept, F.lit("HTML")).otherwise(F.lit("DUPLICATE")).alias("page_type_code"),
         F.when(kept, content_hash(F.col(html))).alias("html_hash"),

@@ -12,7 +12,7 @@ from crawlframe.functions.domains import DEFAULT_SUFFIXES
 from crawlframe.functions.html import extract_images, extract_links
 from crawlframe.functions.urls import canonicalize_url, resolve_link, url_domain
 from crawlframe.operators import filters
-from crawlframe.operators.dedup import dedup_by_url
+from crawlframe.operators.dedup import dedup_by_url, firsts_by_hash
 from crawlframe.operators.ids import assign_ids
 from crawlframe.operators.store import attach_site, links_not_seen, links_not_stored
 from crawlframe.session import checkpointed
@@ -35,12 +35,8 @@ def page_rows(fetches: DataFrame) -> DataFrame:
         F.when(F.col("route") == "website", content_hash(F.col("html"))).alias("_hash"),
     )
     visits = dedup_by_url(narrow)
-    firsts = (
-        visits.where(F.col("_hash").isNotNull())
-        .groupBy("_hash")
-        .agg(F.min(F.struct("accessed_s", "seq")).alias("_first"))
-        .select(F.col("_first")["seq"].alias("seq"), F.lit(True).alias("_kept"))
-    )
+    firsts = firsts_by_hash(visits.select("seq", "accessed_s", "_hash"), "seq", "accessed_s")
+    firsts = firsts.select("seq", F.lit(True).alias("_kept"))
     kept = F.col("_kept").isNotNull()
     kind = (
         F.when(F.col("route") == "document", F.lit("BINARY"))
