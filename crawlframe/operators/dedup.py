@@ -7,12 +7,11 @@ are joined back by their own sequence number, which is never skewed.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlframe.functions.content import content_hash
+from crawlframe.functions.place import place, place_low
 
 
 def dedup_by_url(df: DataFrame, url: str = "url", order: str = "seq") -> DataFrame:
@@ -35,25 +34,11 @@ def first_visit(df: DataFrame, url: str = "url", order: str = "seq") -> DataFram
     )
 
 
-# A place in order, (access time, sequence number), as one number: a fixed-size value keeps the
-# minimum per group in a hash table, where a struct would have to be sorted first. Sequence numbers
-# are not negative.
-_SEQ_RANGE = Decimal(10) ** 19
-
-
-def _place(at: str, seq: str) -> Column:
-    number = F.col(at).cast("decimal(19,0)") * F.lit(_SEQ_RANGE) + F.col(seq).cast("decimal(19,0)")
-    return number.cast("decimal(38,0)")
-
-
-def _seq_of(place: Column) -> Column:
-    return F.pmod(place, F.lit(_SEQ_RANGE)).cast("long")
-
-
 def firsts_by_hash(hashed: DataFrame, seq: str, at: str) -> DataFrame:
     """(_hash, seq) of the first row of each content hash; rows without a hash have none."""
-    firsts = hashed.where(F.col("_hash").isNotNull()).groupBy("_hash").agg(F.min(_place(at, seq)).alias("_first"))
-    return firsts.select("_hash", _seq_of(F.col("_first")).alias(seq))
+    known = hashed.where(F.col("_hash").isNotNull())
+    firsts = known.groupBy("_hash").agg(F.min(place(F.col(at), F.col(seq))).alias("_first"))
+    return firsts.select("_hash", place_low(F.col("_first")).alias(seq))
 
 
 def content_firsts(

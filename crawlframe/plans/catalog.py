@@ -49,7 +49,8 @@ def _canonical_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _canonical(df: DataFrame, url: str = "url") -> DataFrame:
-    return df.withColumn(url, urls.canonicalize_url(F.col(url)))
+    """Rows with a URL, made canonical. Declared not to be NULL: a join would else compute it twice, once for that test."""
+    return df.where(F.col(url).isNotNull()).withColumn(url, F.coalesce(urls.canonicalize_url(F.col(url)), F.lit("")))
 
 
 def _stored_index(spark: SparkSession, sf: str) -> DataFrame:

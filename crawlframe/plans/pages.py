@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from crawlframe.functions.content import content_hash, default_status
 from crawlframe.functions.domains import DEFAULT_SUFFIXES
 from crawlframe.functions.html import extract_images, extract_links
+from crawlframe.functions.place import place, place_high, place_low
 from crawlframe.functions.urls import canonicalize_url, resolve_link, url_domain
 from crawlframe.operators import filters
 from crawlframe.operators.dedup import dedup_by_url, firsts_by_hash
@@ -99,23 +100,28 @@ def expand_frontier(
 ) -> DataFrame:
     """New queue rows (host, seq, pos, parent_url, url) from the links of pages (seq, url, html).
 
-    Cheap filters come before the joins with the store. With ``raw_filter`` the registered-domain
-    filter sees the link as written, which drops relative ones; without, the resolved URL.
+    Filters come before the shuffle, which brings a URL's links together as (URL, place of the
+    link) only; site menus, repeated on every page, combine before it. The parent's URL is looked
+    up at the end, for new links alone. With ``raw_filter`` the registered-domain filter sees the
+    link as written, which drops relative ones; without, the resolved URL.
     """
     hrefs = page_hrefs(pages)
     if registered is not None and raw_filter:
         hrefs = filters.filter_registered_domain(hrefs, "href", registered, suffixes)
     links = hrefs.select(
-        "seq", "pos", canonicalize_url(F.col("parent_url")).alias("parent_url"),
-        resolve_link(F.col("href"), F.col("parent_url")).alias("url"),
+        place(F.col("seq"), F.col("pos")).alias("_place"), resolve_link(F.col("href"), F.col("parent_url")).alias("url")
     )
     if registered is not None and not raw_filter:
         links = filters.filter_registered_domain(links, "url", registered, suffixes)
-    rest = F.struct("seq", "pos", "parent_url")
-    firsts = links.groupBy("url").agg(F.min(rest).alias("_first")).select("url", "_first.*")
-    firsts = firsts.withColumn("host", url_domain(F.col("url")))
-    firsts = filters.filter_exclude_hosts(filters.filter_include_hosts(firsts, include), exclude)
-    fresh = links_not_stored(firsts, stored)
+    if include is not None or exclude is not None:
+        links = links.withColumn("host", url_domain(F.col("url")))
+        links = filters.filter_exclude_hosts(filters.filter_include_hosts(links, include), exclude)
+    fresh = links_not_stored(links.groupBy("url").agg(F.min("_place").alias("_place")), stored)
     if queued is not None:
         fresh = links_not_seen(fresh, queued)
-    return fresh.select("host", "seq", "pos", "parent_url", "url")
+    found = fresh.select(
+        url_domain(F.col("url")).alias("host"), place_high(F.col("_place")).alias("seq"),
+        place_low(F.col("_place")).cast("int").alias("pos"), "url",
+    )
+    parents = pages.select("seq", canonicalize_url(F.col("url")).alias("parent_url"))
+    return found.join(parents, "seq").select("host", "seq", "pos", "parent_url", "url")

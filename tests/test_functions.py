@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from crawlframe.functions import content, domains, robots, urls
+from crawlframe.functions.place import place, place_high, place_low
 from crawlframe.functions.html import extract_images, extract_links
 
 C = F.col
@@ -219,3 +220,11 @@ def test_robots_sitemaps(spark):
 def test_sitemap_locations(spark):
     text = "<urlset><url><loc>https://A.si/x#y</loc></url><loc></loc><loc>http://a.si/b?d&c</loc></urlset>"
     assert values(spark, [text], robots.sitemap_locations) == [["http://a.si/x", "http://a.si/b?c=&d="]]
+
+
+def test_place_orders_by_both_numbers(spark):
+    big = 2**63 - 1
+    rows = [(a, b) for a in (-5, 0, 3, 10**12, big) for b in (0, 1, 999, 10**18, big)]
+    df = spark.createDataFrame(rows, "a long, b long").withColumn("p", place(C("a"), C("b")))
+    got = df.orderBy("p").select("a", "b", place_high(C("p")).alias("h"), place_low(C("p")).alias("l")).collect()
+    assert [(r.a, r.b) for r in got] == rows and all((r.a, r.b) == (r.h, r.l) for r in got)
