@@ -111,11 +111,16 @@ def resolve_host_redirects(hosts: DataFrame) -> DataFrame:
     h1, h2, h3 = hop(1), hop(2), hop(3)
     second = F.when(F.col("next1") != F.col("domain1"), F.col("next1"))
     third = F.when(~F.col("next2").isin(F.col("domain1"), F.col("domain2")), F.col("next2"))
+
+    def key(go: str) -> Column:
+        # Hosts that go nowhere get keys of their own: as NULLs they would all meet in one task.
+        return F.coalesce(F.col(go), F.concat(F.lit("-"), F.col("domain1")))
+
     walked = (
         h1.withColumn("go2", second)
-        .join(h2, F.col("go2") == F.col("domain2"), "left")
+        .join(h2, key("go2") == F.col("domain2"), "left")
         .withColumn("go3", third)
-        .join(h3, F.col("go3") == F.col("domain3"), "left")
+        .join(h3, key("go3") == F.col("domain3"), "left")
     )
     tries = F.when(F.col("go3").isNotNull(), F.lit(3)).when(F.col("go2").isNotNull(), F.lit(2)).otherwise(F.lit(1))
     return walked.select(

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlframe.functions.urls import canonicalize_url
+from crawlframe.operators.store import robots_allowed
+from crawlframe.plans.pages import page_links
 from crawlframe.session import checkpointed
 
 # Levels after which the visited rows are written together again, to keep plans short.
@@ -41,3 +44,19 @@ def crawl_bfs(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None)
         if depth % _MERGE_EVERY == 0:
             visited = checkpointed(visited)
     return visited
+
+
+def crawl_pages(
+    seeds: DataFrame, pages: DataFrame, sites: DataFrame | None = None, max_depth: int | None = None, **link_filters
+) -> DataFrame:
+    """(page, parent, depth), all URLs: the crawl from ``seeds.url`` over stored pages (seq, url, html).
+
+    Links are extracted and filtered as for the frontier (``link_filters``, see
+    :func:`crawlframe.plans.pages.page_links`); with ``sites`` links that the robots rules of their
+    host deny are left out. Seeds are not filtered.
+    """
+    links = page_links(pages, **link_filters)
+    if sites is not None:
+        links = robots_allowed(links, sites, domain="host")
+    edges = links.select(canonicalize_url(F.col("parent_url")).alias("src"), F.col("url").alias("dst")).distinct()
+    return crawl_bfs(seeds.select(canonicalize_url(F.col("url")).alias("page")), edges, max_depth)

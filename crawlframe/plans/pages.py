@@ -67,11 +67,10 @@ def with_html(pages: DataFrame, fetches: DataFrame) -> DataFrame:
 def store_pages(fetches: DataFrame, sites: DataFrame, path: str, batch_id: int | None = None) -> DataFrame:
     """Write the page rows of a set of fetches; returns them without their texts.
 
-    The narrow rows are checkpointed before sites and ids are attached, so the texts are hashed
-    once.
+    The narrow rows are checkpointed before sites and ids are attached and again after, so each
+    step runs once and the texts are hashed once.
     """
-    rows = checkpointed(page_rows(fetches))
-    table = page_table(rows, sites)
+    table = checkpointed(page_table(checkpointed(page_rows(fetches)), sites))
     write_pages(with_html(table, fetches), path, batch_id)
     return table
 
@@ -88,34 +87,37 @@ def page_image_sources(pages: DataFrame, html: str = "html") -> DataFrame:
     return filters.filter_image_sources(filters.filter_empty_refs(found, "src"))
 
 
-def expand_frontier(
+def page_links(
     pages: DataFrame,
-    stored: DataFrame,
-    queued: DataFrame | None = None,
     include: DataFrame | None = None,
     exclude: DataFrame | None = None,
     registered: Sequence[tuple[str, str]] | None = None,
     suffixes: Sequence[str] = DEFAULT_SUFFIXES,
     raw_filter: bool = False,
 ) -> DataFrame:
-    """New queue rows (host, seq, pos, parent_url, url) from the links of pages (seq, url, html).
+    """Filtered links (seq, pos, parent_url, url, host) of pages (seq, url, html), the target canonical.
 
-    Filters come before the shuffle, which brings a URL's links together as (URL, place of the
-    link) only; site menus, repeated on every page, combine before it. The parent's URL is looked
-    up at the end, for new links alone. With ``raw_filter`` the registered-domain filter sees the
-    link as written, which drops relative ones; without, the resolved URL.
+    With ``raw_filter`` the registered-domain filter sees the link as written, which drops
+    relative ones; without, the resolved URL.
     """
-    hrefs = page_hrefs(pages)
+    links = page_hrefs(pages)
     if registered is not None and raw_filter:
-        hrefs = filters.filter_registered_domain(hrefs, "href", registered, suffixes)
-    links = hrefs.select(
-        place(F.col("seq"), F.col("pos")).alias("_place"), resolve_link(F.col("href"), F.col("parent_url")).alias("url")
-    )
+        links = filters.filter_registered_domain(links, "href", registered, suffixes)
+    links = links.select("seq", "pos", "parent_url", resolve_link(F.col("href"), F.col("parent_url")).alias("url"))
     if registered is not None and not raw_filter:
         links = filters.filter_registered_domain(links, "url", registered, suffixes)
-    if include is not None or exclude is not None:
-        links = links.withColumn("host", url_domain(F.col("url")))
-        links = filters.filter_exclude_hosts(filters.filter_include_hosts(links, include), exclude)
+    links = links.withColumn("host", url_domain(F.col("url")))
+    return filters.filter_exclude_hosts(filters.filter_include_hosts(links, include), exclude)
+
+
+def expand_frontier(pages: DataFrame, stored: DataFrame, queued: DataFrame | None = None, **link_filters) -> DataFrame:
+    """New queue rows (host, seq, pos, parent_url, url) from the links of pages (seq, url, html).
+
+    ``link_filters`` go to :func:`page_links`; they come before the shuffle, which brings a URL's
+    links together as (URL, place of the link) only. Site menus, repeated on every page, combine
+    before it. The parent's URL is looked up at the end, for new links alone.
+    """
+    links = page_links(pages, **link_filters).select("url", place(F.col("seq"), F.col("pos")).alias("_place"))
     fresh = links_not_stored(links.groupBy("url").agg(F.min("_place").alias("_place")), stored)
     if queued is not None:
         fresh = links_not_seen(fresh, queued)

@@ -9,7 +9,7 @@ from crawlframe.operators import dedup, filters, frontier, graph, reports, store
 from crawlframe.operators.ids import assign_ids
 from crawlframe.operators.skew import rank_in_group
 from crawlframe.plans import pages as page_plans
-from crawlframe.plans.crawl import crawl_bfs
+from crawlframe.plans.crawl import crawl_bfs, crawl_pages
 from crawlframe.sources import tables
 
 
@@ -233,3 +233,18 @@ def test_expand_frontier_raw_filter(spark):
     assert sorted(r.url for r in wide.collect()) == ["http://a.gov.si/x", "http://b.gov.si/y"]
     raw = page_plans.expand_frontier(pages, stored, registered=[("gov", "si")], raw_filter=True)
     assert [r.url for r in raw.collect()] == ["http://b.gov.si/y"]
+
+
+def test_crawl_pages(spark):
+    pages = spark.createDataFrame([
+        (1, "http://a.si", '<a href="/x"><a href="http://b.si/"><a href="/no/1">'),
+        (2, "https://a.si/x", '<a href="/y#t"><a href="/"><a href="/x">'),
+        (3, "http://b.si/", '<a href="http://c.si/z">'),
+        (4, "http://c.si/z", '<a href="http://a.si/never">'),
+    ], "seq long, url string, html string")
+    sites = spark.createDataFrame([("http://a.si", "User-agent: *\nDisallow: /no/\n")], "domain string, robots_content string")
+    exclude = spark.createDataFrame([("http://c.si",)], "domain string")
+    seeds = spark.createDataFrame([("https://A.si",)], "url string")
+    got = {(r.page, r.parent, r.depth) for r in crawl_pages(seeds, pages, sites, exclude=exclude).collect()}
+    assert got == {("http://a.si/", None, 0), ("http://a.si/x", "http://a.si/", 1), ("http://b.si/", "http://a.si/", 1),
+                   ("http://a.si/y", "http://a.si/x", 2)}
