@@ -94,8 +94,9 @@ def politeness_slots(
 def fetch_batch(queue: DataFrame, clocks: DataFrame, now_us: int, workers: int = 8) -> DataFrame:
     """One round at ``now_us``: the head of every ready host, oldest hosts first, one per worker.
 
-    ``clocks`` has (host, host_seq, last_fetch_us, limit_us).
+    ``clocks`` has (host, host_seq, last_fetch_us, limit_us). The hosts are picked first; only their
+    queues are then looked through, by a broadcast of at most ``workers`` rows.
     """
     hosts = clocks.join(frontier_queue_lengths(queue), "host")
-    ready = ready_hosts(hosts, now_us).select("host", "host_seq")
-    return frontier_heads(queue).join(ready, "host").orderBy("host_seq").limit(workers)
+    chosen = ready_hosts(hosts, now_us).select("host", "host_seq").orderBy("host_seq").limit(workers)
+    return frontier_heads(queue.join(F.broadcast(chosen), "host")).orderBy("host_seq")

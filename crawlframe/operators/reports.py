@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,9 @@ def group_counts(df: DataFrame, key: str, alias: str = "n_rows") -> DataFrame:
 
 
 def group_share(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key and their percentage of all, to one decimal. For keys with few values."""
+    """Rows per key and their percentage of all, to one decimal."""
     counts = group_counts(df, key)
-    share = F.lit(100.0) * F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy())
+    share = F.lit(100.0) * F.col("n_rows") / counts.agg(F.sum("n_rows")).scalar()
     return counts.withColumn("share", F.bround(share, 1))
 
 
