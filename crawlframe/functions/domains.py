@@ -19,7 +19,7 @@ def host_name(url: Column) -> Column:
     """Host of a URL or of bare text, in lower case, without user, port and trailing dot."""
     authority = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://)?([^/?#]*)", 1)
     after_user = F.substring_index(authority, "@", -1)
-    return F.lower(F.regexp_replace(F.substring_index(after_user, ":", 1), r"\.+$", ""))
+    return F.lower(F.regexp_replace(F.substring_index(after_user, ":", 1), r"\.+\z", ""))
 
 
 def registered_domain(host: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES) -> Column:
@@ -53,7 +53,7 @@ def registered_domain(host: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES)
         # An exception rule beats any longer match: the suffix starts right after it.
         broken = F.filter(starts, lambda i: (i > 1) & tail(i - 1).isin(excepted))
         hits = F.when(F.size(broken) > 0, broken).otherwise(hits)
-    is_ip = host.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$")
+    is_ip = host.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}\z")
     start = F.when(is_ip, F.lit(0)).otherwise(F.coalesce(F.array_min(hits), n + 1))
 
     def parts(at: Column) -> Column:

@@ -17,7 +17,7 @@ from crawlframe.functions.urls import canonicalize_url, percent_decode
 from crawlframe.schema import DEFAULT_LIMIT_S
 
 _LINE_ENDS = r"\r\n|[\n\x0B\f\r\x1c\x1d\x1e\x85  ]"
-_BLANKS = " \t\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 # Possessive runs: matched without recursion, however many lines a group has.
 _GROUP = r"((?:u[^\n]*\n)++(?:[adcr][^\n]*\n)++)"
 
@@ -101,8 +101,8 @@ def normal_target(decoded: Column, keep_host: bool = False) -> Column:
     text = F.ltrim(F.translate(decoded, "\t\r\n", ""))
     if not keep_host:
         text = F.regexp_replace(text, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?", "")
-    text = F.regexp_replace(text, r"^([^?#]*/)?([^/;?#]*);(?=[?#]|$)", "$1$2")
-    return F.regexp_replace(F.regexp_replace(text, r"#$", ""), r"^([^?#]*)\?(?=#|$)", "$1")
+    text = F.regexp_replace(text, r"^([^?#]*/)?([^/;?#]*);(?=[?#]|\z)", "$1$2")
+    return F.regexp_replace(F.regexp_replace(text, r"#\z", ""), r"^([^?#]*)\?(?=#|\z)", "$1")
 
 
 def robots_rules(robots: Column) -> Column:
@@ -119,7 +119,7 @@ def robots_rules(robots: Column) -> Column:
 
 def request_target(url: Column) -> Column:
     """What a URL's rules are matched against: its decoded path and query, ``/`` if empty."""
-    return F.regexp_replace(normal_target(percent_decode(url)), "^$", "/")
+    return F.regexp_replace(normal_target(percent_decode(url)), "^\\z", "/")
 
 
 def rules_allow(rules: Column, url: Column) -> Column:
@@ -132,14 +132,14 @@ def rules_allow(rules: Column, url: Column) -> Column:
 def _delay_texts(group: Column) -> Column:
     """Well-formed crawl delays of a group, in order."""
     texts = F.transform(_values(group, "c"), lambda t: _strip(percent_decode(F.substr(t, F.lit(2)))))
-    return F.filter(texts, lambda t: t.rlike("^[0-9]+$"))
+    return F.filter(texts, lambda t: t.rlike(r"^[0-9]+\z"))
 
 
 def _rate_texts(group: Column) -> Column:
     """Well-formed request rates of a group, in order, as arrays of two numbers."""
     texts = F.transform(_values(group, "r"), lambda t: percent_decode(F.substr(t, F.lit(2))))
     return F.transform(
-        F.filter(texts, lambda t: t.rlike(r"^\s*[0-9]+\s*/\s*[0-9]+\s*$")), lambda t: F.transform(F.split(t, "/"), _strip)
+        F.filter(texts, lambda t: t.rlike(r"^\s*[0-9]+\s*/\s*[0-9]+\s*\z")), lambda t: F.transform(F.split(t, "/"), _strip)
     )
 
 

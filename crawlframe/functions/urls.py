@@ -18,11 +18,12 @@ _PATH_SAFE = _UNRESERVED + r":/?\[\]@!$&'()*+,;=|"
 
 # Escapes that a canonical path keeps: of bytes above ASCII and of characters that are not safe.
 _KEPT_ESCAPE = "%(?:[89A-F][0-9A-F]|[01][0-9A-F]|2[0235F]|3[CEF]|5[CE]|60|7[BDF])"
-# The quantifiers on groups are possessive: matched without recursion, however long the text.
-_SETTLED_PATH = f"(?:[{_PATH_SAFE}]|{_KEPT_ESCAPE})*+"
+# The quantifiers on groups are possessive: matched without recursion, however long the text. The
+# end is \z, since $ would leave out a last line end.
+_SETTLED_PATH = f"[{_PATH_SAFE}]*+(?:{_KEPT_ESCAPE}[{_PATH_SAFE}]*+)*+"
 _SETTLED_QUERY = f"[{_UNRESERVED}]++=[{_UNRESERVED}]*+(?:&[{_UNRESERVED}]++=[{_UNRESERVED}]*+)*+"
 # An http(s) URL that needs no more than its scheme folded and its query pairs sorted.
-_SETTLED_URL = rf"^https?://[a-z0-9.\-]+(?::[0-9]+)?/[{_PATH_SAFE.replace('?', '')}]*+(?:\?{_SETTLED_QUERY})?$"
+_SETTLED_URL = rf"^https?://[a-z0-9.\-]+(?::[0-9]+)?/{_SETTLED_PATH.replace('/?', '/')}(?:\?{_SETTLED_QUERY})?\z"
 
 
 def _after(text: Column, mark: str) -> Column:
@@ -58,7 +59,7 @@ def _settle_escapes(encoded: Column, plain: str, unescaped: str, space: str) ->
         was_escape = piece.rlike("^25[0-9A-Fa-f]{2}")
         digits = F.upper(F.when(was_escape, F.substring(piece, 3, 2)).otherwise(F.substring(piece, 1, 2)))
         rest = F.when(was_escape, F.substr(piece, F.lit(5))).otherwise(F.substr(piece, F.lit(3)))
-        literal = F.when(was_escape, _byte(digits).rlike(f"^[{unescaped}]$")).otherwise(_byte(digits).rlike(f"^[{plain}]$"))
+        literal = F.when(was_escape, _byte(digits).rlike(f"^[{unescaped}]\\z")).otherwise(_byte(digits).rlike(f"^[{plain}]\\z"))
         kept = F.when(digits == "20", F.lit(space)).otherwise(F.concat(F.lit("%"), digits))
         return F.concat(F.when(literal, _byte(digits)).otherwise(kept), rest)
 
@@ -110,7 +111,7 @@ def url_parts(url: Column) -> Column:
 def _canonical_host(netloc: Column, url: Column) -> Column:
     """Lower-case the host after the last ``@`` and drop trailing colons."""
     with_user = F.concat(
-        F.regexp_extract(netloc, r"^(.*@)", 1), F.rtrim(F.lower(F.substring_index(netloc, "@", -1)), F.lit(":"))
+        F.regexp_extract(netloc, r"(?s)^(.*@)", 1), F.rtrim(F.lower(F.substring_index(netloc, "@", -1)), F.lit(":"))
     )
     return F.when(F.instr(url, "@") == 0, F.rtrim(F.lower(netloc), F.lit(":"))).otherwise(with_user)
 
@@ -123,14 +124,14 @@ def canonical_path(path: Column) -> Column:
     """
     encoded = F.replace(F.url_encode(path), F.lit("+"), F.lit("%20"))
     normal = _settle_escapes(encoded, _PATH_SAFE, _PATH_SAFE.replace("/?", ""), "%20")
-    return F.when(path.rlike(f"^{_SETTLED_PATH}$"), path).otherwise(normal)
+    return F.when(path.rlike(f"^{_SETTLED_PATH}\\z"), path).otherwise(normal)
 
 
 def _form_text(text: Column) -> Column:
     """Form encoding of a query name or value that may already carry escapes."""
     encoded = F.replace(F.url_encode(F.replace(text, F.lit("+"), F.lit(" "))), F.lit("*"), F.lit("%2A"))
     normal = _settle_escapes(encoded, _UNRESERVED, _UNRESERVED, "+")
-    return F.when(text.rlike(f"^[{_UNRESERVED}+]*$"), text).otherwise(normal)
+    return F.when(text.rlike(f"^[{_UNRESERVED}+]*\\z"), text).otherwise(normal)
 
 
 def _byte_order(form: Column) -> Column:
@@ -172,7 +173,7 @@ def _canonical_tail(path: Column, query: Column) -> Column:
     """Canonical path and query; the question mark goes if no pair is left."""
     full_path = F.when(path == "", F.lit("/")).otherwise(canonical_path(path))
     pairs = F.when(query == "", query).otherwise(
-        F.regexp_replace(F.concat(F.lit("?"), canonical_query(query)), r"^\?$", "")
+        F.regexp_replace(F.concat(F.lit("?"), canonical_query(query)), r"^\?\z", "")
     )
     return F.concat(full_path, pairs)
 

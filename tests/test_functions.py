@@ -32,6 +32,9 @@ CANONICAL = [
     ("http://a.si/x?%7Ea=%20b", "http://a.si/x?~a=+b"),
     ("http://a.si/p|q", "http://a.si/p|q"),
     (" http://a.si/\nx", "http://a.si/x"),
+    ("http://a.si/x\n", "http://a.si/x"),
+    ("http://a.si/x\u2028", "http://a.si/x%E2%80%A8"),
+    ("http://a.si/f%C3%BCr%20x%2Fy?b=1&a=2#t", "http://a.si/f%C3%BCr%20x%2Fy?a=2&b=1"),
 ]
 RESOLVED = [
     ("/p/q", "https://a.si/z/w", "http://a.si/p/q"),
