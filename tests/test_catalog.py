@@ -4,8 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, differences
-
-QUERIES, ORACLES = queries(), oracle_sql()
+from crawlframe.plans.catalog import QUERIES
+from crawlframe.plans.oracles import ORACLES
 
 # SHA-512 is not in the SQL engine; the digest is tested against hashlib.
 ROWS_ONLY = {"content_hash"}
@@ -16,6 +16,10 @@ def con(sf):
     return connect(sf)
 
 
+def test_entry_has_the_catalog():
+    assert QUERIES.keys() <= queries().keys() and ORACLES.keys() <= oracle_sql().keys()
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) - set(ORACLES) == ROWS_ONLY and not set(ORACLES) - set(QUERIES)
 
