@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.llm import decontaminate, secrets, simhash, toxicity
+from crawlframe.llm import decontaminate, linededup, pieces, quality, secrets, simhash, toxicity
 from crawlframe.llm.common import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.sample_pieces(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -25,12 +29,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("print")
+
+
+def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.without_repeated_runs(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_removed")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op4_decontaminate, op6_simhash, op10_secrets)
+    f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op4_decontaminate, op6_simhash, op8_quality, op9_linededup, op10_secrets)
 }
 
 ORACLES: dict[str, str] = {
