@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.llm import decontaminate, linededup, pieces, quality, secrets, simhash, toxicity
+from crawlframe.llm import decontaminate, identifiers, licences, linededup, pieces, quality, secrets, simhash, toxicity, vectors
 from crawlframe.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.sample_pieces(table(spark, sf_dir, "documents"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -24,11 +28,19 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identifiers.identifiers(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("print")
 
@@ -42,7 +54,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op4_decontaminate, op6_simhash, op8_quality, op9_linededup, op10_secrets)
+    f.__name__: f
+    for f in (
+        op1_sentencepiece, op2_neighbours, op3_toxicity, op4_decontaminate, op5_identifiers,
+        op6_simhash, op7_licences, op8_quality, op9_linededup, op10_secrets,
+    )
 }
 
 ORACLES: dict[str, str] = {
