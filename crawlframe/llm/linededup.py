@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crawlframe.functions.bind import bind
 from crawlframe.llm.common import stored
 
 MIN_WORDS = 50
@@ -103,6 +104,12 @@ def _repeats(docs: DataFrame) -> bool:
     return not docs.groupBy("doc_id", F.xxhash64("text")).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
 
 
+def _rest(parts: Column, numbers: Column) -> Column:
+    """The lines that are not gone, joined."""
+    gone = bind(F.filter(numbers, lambda k: F.btrim(F.get(parts, k)) != ""), lambda written: F.transform("_gone", lambda k: F.get(written, k)))
+    return F.array_join(F.transform(F.array_except(numbers, gone), lambda k: F.get(parts, k)), "\n")
+
+
 def without_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the lines of later copies removed from text, and ``lines_removed``.
 
@@ -115,11 +122,9 @@ def without_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     gone = repeated_runs(docs, min_words).select(*DOC, lines).groupBy(*DOC).agg(F.collect_set("i").alias("_gone"))
     gone = gone.select(F.col("doc").alias("_doc"), F.col("print").alias("_print"), "_gone")
     rows = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_print")), "left")
-    parts = F.split("text", "\n", -1)
-    numbers = F.sequence(F.lit(0), F.size(parts) - 1)
-    written = F.filter(numbers, lambda k: F.btrim(F.get(parts, k)) != "")
-    left = F.array_except(numbers, F.transform("_gone", lambda k: F.get(written, k)))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda k: F.get(parts, k)), "\n"))
+    # Bound once: inside the lambdas the text would be cut anew for every line.
+    rest = bind(F.split("text", "\n", -1), lambda parts: bind(F.sequence(F.lit(0), F.size(parts) - 1), lambda numbers: _rest(parts, numbers)))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)
     removed = F.coalesce(F.size("_gone"), F.lit(0))
     names = [c for c in docs.columns if c != "lines_removed"]
     return rows.select(*[text.alias(c) if c == "text" else docs[c] for c in names], F.greatest(removed, F.lit(0)).alias("lines_removed"))
