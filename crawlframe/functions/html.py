@@ -1,9 +1,9 @@
 """Links and images of a page, by regular expression.
 
-An approximation of a tree parser, made in one pass over the text: comments, scripts and styles
-are consumed and give nothing, tags and attributes are matched without regard to case, values
-may be quoted with either quote or bare, the first such attribute of a tag counts. A ``>`` inside
-an earlier quoted attribute ends the tag too soon.
+An approximation of a tree parser, made in one pass over the text: comments, scripts, styles, titles
+and text areas are consumed and give nothing, tags and attributes are matched without regard to case,
+attributes are walked over one by one, values may be quoted with either quote or bare, and the first
+such attribute of a tag counts.
 """
 
 from __future__ import annotations
@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SKIPPED = r"!--.*?(?:-->|\z)|script\b.*?(?:</script|\z)|style\b.*?(?:</style|\z)"
+_SKIPPED = "|".join([r"!--.*?(?:-->|\z)", *[rf"{tag}\b.*?(?:</{tag}|\z)" for tag in ("script", "style", "textarea", "title")]])
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 
 
 def _attribute_pattern(tags: str, attribute: str) -> str:
-    return rf"(?is)<(?:{_SKIPPED}|(?:{tags})(?:\s[^>]*?)?[\s/]{attribute}\s*=\s*{_VALUE})"
+    # Other attributes are walked over one by one, each with its value, and never given back.
+    other = rf"""[\s/]++(?!{attribute}\s*+=)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+    return rf"(?is)<(?:{_SKIPPED}|(?:{tags})(?:{other})*+[\s/]++{attribute}\s*+=\s*+{_VALUE})"
 
 
 LINK_PATTERN = _attribute_pattern("a", "href")
@@ -27,7 +29,8 @@ def decode_entities(text: Column) -> Column:
     """Decode the entities that occur in attribute values."""
     out = text
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"),
-                         ("&#39;", "'"), ("&#38;", "&"), ("&amp;", "&")):
+                         ("&#39;", "'"), ("&#x27;", "'"), ("&#x2F;", "/"), ("&#x2f;", "/"), ("&#47;", "/"), ("&#x3D;", "="),
+                         ("&#61;", "="), ("&#x3F;", "?"), ("&#63;", "?"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&")):
         out = F.replace(out, F.lit(entity), F.lit(char))
     return F.when(F.instr(text, "&") == 0, text).otherwise(out)
 
