@@ -28,11 +28,15 @@ def registered_domain(host: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES)
     A host under no listed suffix gets an empty suffix and its last label as domain; an IPv4
     address is its own domain.
     """
+    # Bound once: inside the lambdas below host and labels would be derived anew for every label.
+    return bind(host, lambda h: bind(F.split(h, r"\."), lambda labels: _registered(h, labels, suffixes)))
+
+
+def _registered(host: Column, labels: Column, suffixes: Sequence[str]) -> Column:
     plain = [s for s in suffixes if not s.startswith(("*.", "!"))]
     wild = [s[2:] for s in suffixes if s.startswith("*.")]
     excepted = [s[1:] for s in suffixes if s.startswith("!")]
 
-    labels = F.split(host, r"\.")
     n = F.size(labels)
     # Position of the first suffix label, for every suffix of the host that a rule names.
     starts = F.sequence(F.lit(1), n)

@@ -124,8 +124,8 @@ def request_target(url: Column) -> Column:
 
 def rules_allow(rules: Column, url: Column) -> Column:
     """Decision of the first rule whose path is a prefix of the URL's; allowed if there is none."""
-    target = request_target(url)
-    first = F.get(F.filter(rules, lambda r: target.startswith(r["path"])), F.lit(0))
+    # Bound once: inside the lambda the URL would be taken apart for every rule.
+    first = bind(request_target(url), lambda target: F.get(F.filter(rules, lambda r: target.startswith(r["path"])), F.lit(0)))
     return F.coalesce(first["allow"], F.lit(True))
 
 
