@@ -19,10 +19,11 @@ def frontier_positions(
     return rank_in_group(queue, "host", "seq", "position", ties, min_rows, pieces)
 
 
-def frontier_heads(queue: DataFrame) -> DataFrame:
-    """Next row of each host's queue; an aggregate, so no queue is sorted."""
+def frontier_heads(queue: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """Next row of each host's queue by ``seq``, then ``ties``; an aggregate, so no queue is sorted."""
     rest = [c for c in queue.columns if c != "host"]
-    heads = queue.groupBy("host").agg(F.min_by(F.struct(*rest), F.col("seq")).alias("_head"))
+    order = F.struct("seq", *ties) if ties else F.col("seq")
+    heads = queue.groupBy("host").agg(F.min_by(F.struct(*rest), order).alias("_head"))
     return heads.select("host", *[F.col("_head")[c].alias(c) for c in rest])
 
 
@@ -99,4 +100,5 @@ def fetch_batch(queue: DataFrame, clocks: DataFrame, now_us: int, workers: int =
     """
     hosts = clocks.join(frontier_queue_lengths(queue), "host")
     chosen = ready_hosts(hosts, now_us).select("host", "host_seq").orderBy("host_seq").limit(workers)
-    return frontier_heads(queue.join(F.broadcast(chosen), "host")).orderBy("host_seq")
+    ties = ["pos"] if "pos" in queue.columns else []
+    return frontier_heads(queue.join(F.broadcast(chosen), "host"), ties).orderBy("host_seq")

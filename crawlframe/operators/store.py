@@ -175,7 +175,11 @@ def unique_violations(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) ->
 
     def key_text(keys: Sequence[str]) -> Column:
         texts = [F.col(k).cast("string") for k in keys]
-        return texts[0] if len(texts) == 1 else F.concat(texts[0], *[t for k in texts[1:] for t in (F.lit(","), k)])
+        if len(texts) == 1:
+            return texts[0]
+        # A comma inside a part is escaped, so that different keys never read the same.
+        parts = [F.replace(F.replace(t, F.lit("\\"), F.lit("\\\\")), F.lit(","), F.lit("\\,")) for t in texts]
+        return F.concat(parts[0], *[t for k in parts[1:] for t in (F.lit(","), k)])
 
     named = reduce(DataFrame.unionByName, [
         _named_keys(group[0][1], [(name, key_text(keys)) for name, _, keys in group]) for group in _by_table(checks, 1)

@@ -112,6 +112,30 @@ def write_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("store_batches")
+def store_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The fetches in two batches, the second given once more; pages with site, parent and document as stored."""
+    fetches = checkpointed(derived.fetches(spark, sf))
+    half = fetches.agg(F.floor(F.max("seq") / 2)).first()[0]
+    root = run_dir(spark, "store")
+    page_plans.store_batch(fetches.where(F.col("seq") <= half), root, 0, derived.stored_sites(spark, sf))
+    for _ in range(2):
+        page_plans.store_batch(fetches.where(F.col("seq") > half), root, 1)
+    rows = {name: sinks.stored_before(spark, f"{root}/{name}", kind, 2) for name, kind in
+            (("page", schema.PAGE), ("site", schema.SITE), ("link", schema.LINK), ("page_data", schema.PAGE_DATA))}
+    pages = rows["page"]
+    parents = pages.select(F.col("id").alias("from_page"), F.col("url").alias("parent"))
+    return (
+        pages.join(rows["site"].select(F.col("id").alias("site_id"), "domain"), "site_id", "left")
+        .join(rows["link"].withColumnRenamed("to_page", "id").join(parents, "from_page"), "id", "left")
+        .join(rows["page_data"].select(F.col("page_id").alias("id"), F.octet_length("data").cast("long").alias("data_bytes")), "id", "left")
+        .select(
+            "url", "domain", "page_type_code", F.octet_length("html_content").cast("long").alias("html_bytes"), "http_status_code",
+            F.unix_seconds("accessed_time").alias("accessed_s"), "parent", "data_bytes",
+        )
+    )
+
+
 @query("write_page_data")
 def write_page_data(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "page_data")

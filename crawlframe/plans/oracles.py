@@ -308,6 +308,11 @@ oracle("write_pages", [*_ROWS, "fx_sites", "fx_stored_sites", "page_sites", "pag
 SELECT p.id, s.id AS site_id, page_type_code, url, CASE WHEN page_type_code = 'HTML' THEN CAST(strlen(html) AS BIGINT) END AS html_bytes,
   http_status_code, accessed_s, CASE WHEN page_type_code = 'HTML' THEN CAST(128 AS BIGINT) END AS hash_chars
 FROM page_ids p JOIN page_sites s USING (domain)""")
+oracle("store_batches", [*_ROWS, "page_ids"], """
+SELECT p.url, p.domain, p.page_type_code, CASE WHEN p.page_type_code = 'HTML' THEN CAST(strlen(p.html) AS BIGINT) END AS html_bytes,
+  p.http_status_code, p.accessed_s, f.url AS parent,
+  CASE WHEN p.page_type_code = 'BINARY' THEN CAST(strlen(p.html) AS BIGINT) END AS data_bytes
+FROM page_ids p LEFT JOIN page_ids f ON f.url = p.parent_url AND f.seq < p.seq""")
 oracle("write_page_data", ["n_pages", "fx_page_data"], """
 SELECT id, page_id, data_type_code, CAST(strlen(content) AS BIGINT) AS n_bytes, md5(content) AS data_md5 FROM fx_page_data""")
 oracle("write_images", ["fx_images"], """

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlframe import schema
 from crawlframe.functions.content import content_hash, default_status
 from crawlframe.functions.domains import DEFAULT_SUFFIXES
 from crawlframe.functions.html import extract_images, extract_links
@@ -15,16 +16,17 @@ from crawlframe.functions.urls import canonicalize_url, resolve_link, url_domain
 from crawlframe.operators import filters
 from crawlframe.operators.dedup import dedup_by_url, firsts_by_hash
 from crawlframe.operators.ids import assign_ids
-from crawlframe.operators.store import attach_site, links_not_seen, links_not_stored
+from crawlframe.operators.store import attach_site, first_parent_links, links_not_seen, links_not_stored, new_sites
 from crawlframe.session import checkpointed
-from crawlframe.sources.store import write_pages
+from crawlframe.sources.store import conform, stored_before, write_links, write_page_data, write_pages, write_rows
 
 
-def page_rows(fetches: DataFrame) -> DataFrame:
+def page_rows(fetches: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Narrow page rows of a set of fetches: everything of a page but its text and id.
 
     Skipped fetches store nothing; of a URL only the first fetch counts. The text enters as its
-    hash alone, so neither step by URL nor by content moves page texts.
+    hash alone, so neither step by URL nor by content moves page texts. URLs of ``stored`` (url,
+    html_hash) give no row, and a content that it has is a repeat.
     """
     routed = filters.route_fetches(fetches).where(F.col("route") != "skip").withColumns({
         "url": canonicalize_url(F.col("url")),
@@ -35,8 +37,11 @@ def page_rows(fetches: DataFrame) -> DataFrame:
         "seq", "url", "parent_url", "route", "data_type_code", "http_status_code", "accessed_s",
         F.when(F.col("route") == "website", content_hash(F.col("html"))).alias("_hash"),
     )
-    visits = dedup_by_url(narrow)
+    visits = dedup_by_url(narrow if stored is None else links_not_stored(narrow, stored))
     firsts = firsts_by_hash(visits.select("seq", "accessed_s", "_hash"), "seq", "accessed_s")
+    if stored is not None:
+        known = stored.where(F.col("html_hash").isNotNull()).select(F.col("html_hash").alias("_hash"))
+        firsts = firsts.join(known, "_hash", "left_anti")
     firsts = firsts.select("seq", F.lit(True).alias("_kept"))
     kept = F.col("_kept").isNotNull()
     kind = (
@@ -75,6 +80,47 @@ def store_pages(fetches: DataFrame, sites: DataFrame, path: str, batch_id: int |
     return table
 
 
+def batch_links(table: DataFrame, stored: DataFrame) -> DataFrame:
+    """Edges (from_page, to_page) of the first visits in a batch; parents are pages stored before or earlier in the batch."""
+    before = stored.select(F.col("url").alias("parent_url"), F.col("id").alias("from_page"))
+    old = table.select("parent_url", F.col("id").alias("to_page")).join(before, "parent_url").select("from_page", "to_page")
+    return old.unionByName(first_parent_links(table))
+
+
+def store_batch(fetches: DataFrame, root: str, batch_id: int, sites: DataFrame | None = None) -> DataFrame:
+    """Store a batch of fetches beside what earlier batches stored: sites, pages, documents, links below ``root``.
+
+    Stored URLs are not stored again, stored contents are repeats, hosts keep their site, parents are
+    looked up among stored and new pages, and new ids follow the stored ones. ``sites`` are rows
+    known at the start; the first batch writes them with its own. Everything depends on earlier batches
+    and the fetches alone: a batch that is repeated replaces its own rows by the same ones. Returns
+    the page rows without texts.
+    """
+    spark = fetches.sparkSession
+    pages = stored_before(spark, f"{root}/page", schema.PAGE, batch_id).select("id", "url", "html_hash")
+    known = stored_before(spark, f"{root}/site", schema.SITE, batch_id)
+    given = conform(sites, schema.SITE) if sites is not None and batch_id == 0 else known.limit(0)
+    rows = checkpointed(page_rows(fetches, pages))
+    fresh = given.unionByName(conform(new_sites(rows, known.unionByName(given)), schema.SITE))
+    write_rows(fresh, f"{root}/site", batch_id)
+    every = stored_before(spark, f"{root}/site", schema.SITE, batch_id + 1).select("domain", F.col("id").cast("long").alias("site_id"))
+    start = pages.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).first()[0]
+    table = checkpointed(assign_ids(rows.join(every, "domain", "left"), "url", start=start))
+    write_pages(with_html(table, fetches), f"{root}/page", batch_id)
+    write_links(batch_links(table, pages), f"{root}/link", batch_id)
+    write_page_data(batch_documents(table, fetches, spark, root, batch_id), f"{root}/page_data", batch_id)
+    return table
+
+
+def batch_documents(table: DataFrame, fetches: DataFrame, spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """Document rows (id, page_id, data_type_code, content) of the binary pages of a batch, ids after the stored ones."""
+    stored = stored_before(spark, f"{root}/page_data", schema.PAGE_DATA, batch_id)
+    start = stored.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).first()[0]
+    pages = table.where(F.col("page_type_code") == "BINARY").select(F.col("id").alias("page_id"), "data_type_code", "seq")
+    numbered = assign_ids(pages, "page_id", start=start)
+    return numbered.join(fetches.select("seq", F.col("html").alias("content")), "seq", "left").drop("seq")
+
+
 def page_hrefs(pages: DataFrame, html: str = "html") -> DataFrame:
     """Links of pages as (seq, parent_url, pos, href), empty and non-web ones left out."""
     found = pages.select("seq", F.col("url").alias("parent_url"), F.posexplode(extract_links(F.col(html))).alias("pos", "href"))

@@ -13,7 +13,7 @@ from crawlframe.operators.filters import filter_empty_refs, filter_image_sources
 from crawlframe.operators.frontier import frontier_positions
 from crawlframe.operators.ids import assign_ids
 
-QUEUE = T.StructType(schema.FRONTIER.fields + [T.StructField("seq", T.LongType(), True)])
+QUEUE = T.StructType(schema.FRONTIER.fields + [T.StructField("seq", T.LongType(), True), T.StructField("pos", T.IntegerType(), True)])
 
 
 def conform(df: DataFrame, table: T.StructType) -> DataFrame:
@@ -35,6 +35,14 @@ def write_pages(pages: DataFrame, path: str, batch_id: int | None = None) -> Non
     write_rows(conform(pages, schema.PAGE), path, batch_id, "page_type_code")
 
 
+def stored_before(spark: SparkSession, path: str, table: T.StructType, batch_id: int) -> DataFrame:
+    """Rows that batches before ``batch_id`` wrote below ``path``; the filter prunes directories."""
+    if batch_id == 0:
+        return spark.createDataFrame([], table)
+    full = T.StructType(table.fields + [T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(full).parquet(path).where(F.col("batch_id") < batch_id).drop("batch_id")
+
+
 def page_data_rows(documents: DataFrame) -> DataFrame:
     """Binary documents: the text content as UTF-8 bytes."""
     return conform(documents.withColumn("data", content_bytes(F.col("content"))), schema.PAGE_DATA)
@@ -73,7 +81,7 @@ def write_links(edges: DataFrame, path: str, batch_id: int | None = None) -> Non
 
 
 def save_frontier(queue: DataFrame, root: str, version: int) -> None:
-    """Store the frontier (url, parent_url, seq) as a new version; the log entry makes it current.
+    """Store the frontier (url, parent_url, seq and, where it has one, pos) as a new version; the log entry makes it current.
 
     Earlier versions are left alone, so a failed save loses nothing.
     """
@@ -83,7 +91,7 @@ def save_frontier(queue: DataFrame, root: str, version: int) -> None:
 
 
 def load_frontier(spark: SparkSession, root: str) -> DataFrame:
-    """The current frontier as host queues (host, url, parent_url, seq, position)."""
+    """The current frontier as host queues (host, url, parent_url, seq, pos, position), in order of seq, then pos."""
     version = spark.read.schema("version long").parquet(f"{root}/log").agg(F.max("version")).first()[0]
     rows = spark.read.schema(QUEUE).parquet(f"{root}/rows/version={version}")
-    return frontier_positions(rows.withColumn("host", url_domain(F.col("url"))))
+    return frontier_positions(rows.withColumn("host", url_domain(F.col("url"))), ["pos"])
