@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def assign_ids(df: DataFrame, key: str, id_col: str = "id", start: int | Column = 1, hex_digits: int = 2) -> DataFrame:
-    """Number rows densely from ``start``, in order of (MD5 bucket of the key, key).
+def assign_ids(df: DataFrame, key: str, id_col: str = "id", start: int | Column = 1, hex_digits: int = 4) -> DataFrame:
+    """Number rows densely from ``start``, in order of the key's MD5.
 
-    ``key`` must be unique. Buckets are of equal size whatever the keys, so the numbering runs
-    in ``16 ** hex_digits`` window partitions; only that many bucket counts meet in one task and
-    are broadcast. The ids depend on the keys alone, so a recomputed task gives the same ones.
+    ``key`` must be unique. Buckets of the MD5's first ``hex_digits`` digits are of equal size
+    whatever the keys, so the numbering runs in ``16 ** hex_digits`` window partitions; only that
+    many bucket counts meet in one task and are broadcast. The ids depend on the keys alone, neither
+    on the digits nor on how often a task runs.
     """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.col(key).cast("string")), 1, hex_digits))
+    bucketed = df.withColumn("_md5", F.md5(F.col(key).cast("string"))).withColumn("_bucket", F.substring("_md5", 1, hex_digits))
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         bucketed.groupBy("_bucket")
@@ -21,7 +22,7 @@ def assign_ids(df: DataFrame, key: str, id_col: str = "id", start: int | Column
         .select("_bucket", F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_before"))
     )
     first = F.lit(start) if isinstance(start, int) else start
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_md5"))
     return (
         bucketed.withColumn("_rank", rank)
         .join(F.broadcast(before), "_bucket")

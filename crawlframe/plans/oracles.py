@@ -18,7 +18,7 @@ SELECT CAST(hn + 1 AS BIGINT) AS id, domain,
       'User-agent: *', chr(10), 'Disallow: /%64e/ # c', chr(10), 'Crawl-delay: 1.5', chr(10), 'Sitemap: ', domain, '/sitemap.xml', chr(10))
     ELSE '<html>404</html>' END AS robots_content,
   CASE WHEN hn % 3 = 1 THEN concat('<urlset><url><loc>', domain, '/sm/1</loc></url><url><loc>https', substr(domain, 5), '/sm/2#x</loc></url></urlset>') ELSE '' END AS sitemap_content
-FROM (SELECT domain, row_number() OVER (ORDER BY substr(md5(domain), 1, 2), domain) - 1 AS hn
+FROM (SELECT domain, row_number() OVER (ORDER BY md5(domain)) - 1 AS hn
       FROM (SELECT DISTINCT concat('http://', lower(regexp_extract(url, '^https?://([^/?#]+)', 1))) AS domain FROM pages) h) t"""
 
 PARTS["fx_stored_sites"] = "SELECT * FROM fx_sites WHERE domain LIKE '%.com'"
@@ -161,11 +161,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY route, CASE WHEN route = 'websit
 PARTS["page_sites"] = """
 SELECT domain, id FROM fx_stored_sites
 UNION ALL
-SELECT domain, (SELECT max(id) FROM fx_stored_sites) + row_number() OVER (ORDER BY substr(md5(domain), 1, 2), domain)
+SELECT domain, (SELECT max(id) FROM fx_stored_sites) + row_number() OVER (ORDER BY md5(domain))
 FROM (SELECT DISTINCT domain FROM page_rows WHERE domain NOT IN (SELECT domain FROM fx_stored_sites)) t"""
 
 PARTS["page_ids"] = """
-SELECT *, row_number() OVER (ORDER BY substr(md5(url), 1, 2), url) AS id FROM page_rows"""
+SELECT *, row_number() OVER (ORDER BY md5(url)) AS id FROM page_rows"""
 
 PARTS["rb_lines"] = r"""
 SELECT domain, unnest(string_split(robots_content, chr(10))) AS line,
@@ -316,7 +316,7 @@ FROM page_ids p LEFT JOIN page_ids f ON f.url = p.parent_url AND f.seq < p.seq""
 oracle("write_page_data", ["n_pages", "fx_page_data"], """
 SELECT id, page_id, data_type_code, CAST(strlen(content) AS BIGINT) AS n_bytes, md5(content) AS data_md5 FROM fx_page_data""")
 oracle("write_images", ["fx_images"], """
-SELECT row_number() OVER (ORDER BY substr(md5(k), 1, 2), k) AS id, page_id, filename, content_type, n_bytes FROM (
+SELECT row_number() OVER (ORDER BY md5(k)) AS id, page_id, filename, content_type, n_bytes FROM (
   SELECT page_id || ':' || pos AS k, page_id, CASE WHEN pos = 1 THEN '' ELSE regexp_extract(src, '[^/]*$') END AS filename,
     CASE pos WHEN 0 THEN '.png' ELSE '.gif' END AS content_type, CASE WHEN pos = 1 THEN CAST(strlen(src) AS BIGINT) END AS n_bytes
   FROM fx_images WHERE pos IN (0, 1)) t""")
@@ -375,7 +375,7 @@ oracle("links_not_seen", [*_CLINKS, "fx_seen", "c_seen"], "SELECT seq, url FROM
 oracle("attach_site", ["n_pages", "fx_fetches", "fx_sites", "fx_stored_sites"], """
 SELECT f.seq, f.url, f.domain, s.id AS site_id FROM fx_fetches f JOIN (
   SELECT domain, id FROM fx_stored_sites UNION ALL
-  SELECT domain, (SELECT max(id) FROM fx_stored_sites) + row_number() OVER (ORDER BY substr(md5(domain), 1, 2), domain)
+  SELECT domain, (SELECT max(id) FROM fx_stored_sites) + row_number() OVER (ORDER BY md5(domain))
   FROM (SELECT DISTINCT domain FROM fx_fetches WHERE domain NOT IN (SELECT domain FROM fx_stored_sites)) t) s USING (domain)""")
 oracle("new_links_only", ["n_pages", "fx_edges"], """
 SELECT src AS from_page, dst AS to_page FROM fx_edges e WHERE pos = 1
@@ -456,7 +456,7 @@ oracle("stream_politeness", _SLOTS, "SELECT host, seq, slot_us FROM fx_slots")
 oracle("politeness_slots_first_waits", _SLOTS, """
 SELECT host, seq, greatest(slot_us, n * limit_us + min(arrival_us) OVER (PARTITION BY host)) AS slot_us FROM fx_slots""")
 oracle("assign_ids", ["page_domains"], """
-SELECT row_number() OVER (ORDER BY substr(md5(domain), 1, 2), domain) AS id, domain FROM (SELECT DISTINCT domain FROM page_domains) t""")
+SELECT row_number() OVER (ORDER BY md5(domain)) AS id, domain FROM (SELECT DISTINCT domain FROM page_domains) t""")
 oracle("fetch_batch", _MOMENT, """
 SELECT r.host, min(q.seq) AS seq, r.host_seq FROM fx_ready r JOIN fx_queue q USING (host) GROUP BY r.host, r.host_seq ORDER BY r.host_seq LIMIT 8""")
 

@@ -58,7 +58,7 @@ def image_rows(images: DataFrame) -> DataFrame:
     ``images`` has (page_id, pos, src, content_type) and optionally content and accessed_time. A
     ``data:`` URI has no file name and is its own content; its type stands in its text.
     """
-    is_data = F.col("src").startswith("data:")
+    is_data = F.lower(F.substring("src", 1, 5)) == "data:"
     typed = filter_image_sources(filter_empty_refs(images, "src")).withColumn(
         "extension", mime_extension(F.when(is_data, F.col("src")).otherwise(F.col("content_type")))
     )
@@ -69,7 +69,8 @@ def image_rows(images: DataFrame) -> DataFrame:
         "content_type": F.col("extension"),
         "data": content_bytes(F.when(is_data, F.col("src")).otherwise(content)),
     })
-    return assign_ids(rows, "_key")
+    # Keys alone are numbered; contents meet their ids in a join.
+    return rows.join(assign_ids(rows.select("_key"), "_key"), "_key").select("id", *[c for c in rows.columns])
 
 
 def write_images(images: DataFrame, path: str, batch_id: int | None = None) -> None:
