@@ -120,6 +120,30 @@ def test_extract_images(spark):
     assert values(spark, HTML, extract_images) == [["/i/1.png", "data:image/gif;base64,R0"], [], ["/i.gif"], [], [], None]
 
 
+# Attributes are walked one by one: the first of the name counts, quoted values may hold anything.
+ATTRIBUTES = [
+    ('<a href="/a" href="/b">', ["/a"]),
+    ('<a title="x href=/bad" href="/good">', ["/good"]),
+    ('<a title="a > b" href="/1">', ["/1"]),
+    ("<title><a href=\"/no\"></title><textarea><a href=\"/no\"></textarea><a  class=x/ HREF = '/y'>", ["/y"]),
+    ('<a href="&#x2F;z"> <abbr href="/no"><a\nhref=b>', ["/z", "b"]),
+    ('<a/href="/s"><a disabled href="/d" ><img src=x>', ["/s", "/d"]),
+    ('<a href>x<a href="/k">', ["/k"]),
+]
+
+
+def test_attributes(spark):
+    assert values(spark, [h for h, _ in ATTRIBUTES], extract_links) == [links for _, links in ATTRIBUTES]
+
+
+def test_many_rules_cost_no_url_each(spark):
+    """The URL's target is derived once: the plan has its expression one time, outside the rules' lambda."""
+    rules = spark.createDataFrame([("http://a.si/x", [(True, "/y")] * 3)], "url string, rules array<struct<allow:boolean,path:string>>")
+    text = str(robots.rules_allow(C("rules"), C("url")))
+    assert text.count("filter(") == 1 and "rlike" not in text.split("filter(")[1].lower()
+    assert rules.select(robots.rules_allow(C("rules"), C("url"))).first()[0] is True
+
+
 def test_long_page(spark):
     page = '<a title="' + "x" * 200_000 + '" href="/far">' + "<a href='/l'>" * 20_000 + "<!--" + "y" * 200_000
     links = values(spark, [page], extract_links)[0]

@@ -5,7 +5,9 @@ import hashlib
 from pyspark.sql import functions as F
 
 from crawlframe import schema
-from crawlframe.plans.pages import page_image_sources, store_pages
+from crawlframe.operators.frontier import frontier_heads
+from crawlframe.operators.store import fk_violations, unique_violations
+from crawlframe.plans.pages import page_image_sources, store_batch, store_pages
 from crawlframe.sources import store, tables
 
 FETCHES = "seq long, url string, parent_url string, html string, content_type string, status int, accessed_s long"
@@ -89,3 +91,50 @@ def test_host_list(spark):
     got = {r.domain for r in tables.host_list(spark, ["www.A.si", "https://b.si:80/x"]).collect()}
     assert got == {"http://www.a.si", "http://b.si:80"}
     assert tables.host_list(spark, schema.SEED_HOSTS).count() == 5
+
+
+FETCHES = "seq long, url string, parent_url string, html string, content_type string, status int, accessed_s long"
+
+
+def _fetch(seq, url, html, parent=None, kind="text/html"):
+    return (seq, url, parent, html, kind, 200, 1000 + seq)
+
+
+def test_a_second_batch_knows_the_first(spark, tmp_path):
+    root = str(tmp_path / "store")
+    one = [_fetch(1, "http://a.si/", "A"), _fetch(2, "http://b.si/x", "B", "http://a.si/")]
+    two = [_fetch(3, "http://a.si", "again"), _fetch(4, "http://c.si/", "A", "http://b.si/x"), _fetch(5, "http://b.si/d.pdf", "doc", "http://c.si/", "application/pdf")]
+    store_batch(spark.createDataFrame(one, FETCHES), root, 0)
+    for _ in range(2):
+        store_batch(spark.createDataFrame(two, FETCHES), root, 1)
+    read = {n: store.stored_before(spark, f"{root}/{n}", t, 2) for n, t in (("page", schema.PAGE), ("site", schema.SITE), ("link", schema.LINK), ("page_data", schema.PAGE_DATA))}
+    sites = {r.domain: r.id for r in read["site"].collect()}
+    assert sorted(sites.values()) == [1, 2, 3] and len(sites) == 3
+    pages = {r.url: r for r in read["page"].collect()}
+    assert {u: (p.page_type_code, p.html_content) for u, p in pages.items() if p.url != "http://a.si"} == {
+        "http://a.si/": ("HTML", "A"), "http://b.si/x": ("HTML", "B"), "http://c.si/": ("DUPLICATE", None), "http://b.si/d.pdf": ("BINARY", None),
+    }
+    assert sorted(p.id for p in pages.values()) == list(range(1, len(pages) + 1))
+    assert pages["http://b.si/d.pdf"].site_id == pages["http://b.si/x"].site_id
+    by_id = {p.id: u for u, p in pages.items()}
+    edges = {(by_id[r.from_page], by_id[r.to_page]) for r in read["link"].collect()}
+    assert edges == {("http://a.si/", "http://b.si/x"), ("http://b.si/x", "http://c.si/"), ("http://c.si/", "http://b.si/d.pdf")}
+    assert [(r.page_id, bytes(r.data)) for r in read["page_data"].collect()] == [(pages["http://b.si/d.pdf"].id, b"doc")]
+    keys = [("page_id", read["page"], ["id"]), ("page_url", read["page"], ["url"]), ("site_id", read["site"], ["id"]), ("domain", read["site"], ["domain"]), ("link", read["link"], ["from_page", "to_page"])]
+    assert unique_violations(keys).count() == 0
+    assert fk_violations([("page_site", read["page"], "site_id", read["site"], "id"), ("link_to", read["link"], "to_page", read["page"], "id")]).count() == 0
+
+
+def test_keys_with_commas_are_not_confused(spark):
+    rows = spark.createDataFrame([("a,b", "c"), ("a", "b,c"), ("x", "y"), ("x", "y")], "p string, q string")
+    assert [(r.key, r.n_rows) for r in unique_violations([("k", rows, ["p", "q"])]).collect()] == [("x,y", 2)]
+
+
+def test_links_of_one_page_keep_their_order(spark, tmp_path):
+    root = str(tmp_path / "frontier")
+    rows = [("http://a.si", f"http://a.si/{k}", None, 7, pos) for pos, k in enumerate((5, 3, 9, 1))]
+    queue = spark.createDataFrame(rows, "host string, url string, parent_url string, seq long, pos int")
+    store.save_frontier(queue.orderBy("url"), root, 1)
+    loaded = store.load_frontier(spark, root)
+    assert [r.url[-1] for r in loaded.orderBy("position").collect()] == list("5391")
+    assert frontier_heads(queue.orderBy("url"), ["pos"]).first().url == "http://a.si/5"
