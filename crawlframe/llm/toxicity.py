@@ -10,7 +10,8 @@ a step that finds it negative goes back along its gradient instead (the non-nega
 
 The score is linear in hashed words and beginnings of words, by the logarithm of how many distinct
 words of the text have them. Training texts are bounded samples, chosen by a
-hash of doc_id; only their word numbers reach the driver, where numpy fits the weights. Every whole
+hash of doc_id; only
+their telling features reach the driver, where numpy fits the weights. Every whole
 text is then scored in its task.
 """
 
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlframe.llm.common import map_arrow
+from crawlframe.llm.common import map_arrow, stored
 
 WORD = re.compile(r"[^\W_]+")
 #: Words are numbered modulo this.
@@ -71,15 +72,12 @@ def _spread(rows: list[tuple[np.ndarray, np.ndarray]], place: np.ndarray) -> tup
     return place[words[kept]], np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])[kept], np.log1p(counts)
 
 
-def fit(positives: list, unlabelled: list, prior: float) -> tuple[np.ndarray, float]:
-    """Weights of the features and the bias, from rows of (features, counts)."""
+def fit(positives: list, unlabelled: list, prior: float, used: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of the ``used`` features and the bias, from rows of (features, counts)."""
     weights = np.zeros(SLOTS, np.float32)
     if not positives or not unlabelled or not 0 < prior < 1:
         return weights, float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
     n_p, n_u = len(positives), len(unlabelled)
-    c_p, c_u = (np.bincount(np.concatenate([x for x, _ in rows]), minlength=SLOTS) for rows in (positives, unlabelled))
-    over = (c_p / n_p - c_u / n_u) / np.sqrt((c_u + 1) / n_u / n_p)
-    used = np.flatnonzero((over >= OVER) & (c_p >= 2))
     place = np.full(SLOTS, -1)
     place[used] = np.arange(len(used))
     (p_word, p_row, p_value), (u_word, u_row, u_value) = _spread(positives, place), _spread(unlabelled, place)
@@ -114,19 +112,37 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     toxic = own.filter("toxic = 1").orderBy(deal, "doc_id").limit(positives).select("doc_id", F.lit(True).alias("toxic"))
     other = docs.filter("doc_id is not null").select("doc_id").orderBy(deal, "doc_id").limit(unlabelled).distinct().select("doc_id", F.lit(False).alias("toxic"))
     # At most positives + unlabelled ids.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(toxic.union(other)), "doc_id")
-    features = Features()
+    chosen = stored(docs.select("doc_id", "text").join(F.broadcast(toxic.union(other)), "doc_id").select("text", "toxic"), "training")
+    sizes = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+    n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
+    if not n_p or not n_u:
+        return fit([], [], float(prior), np.empty(0, np.int64))
+
+    def count(rows: dict) -> dict:
+        features, sums = Features(), np.zeros((2, SLOTS), np.int32)
+        for text, kind in zip(rows["text"], rows["toxic"], strict=True):
+            sums[int(kind), features(text)[0]] += 1
+        found = np.flatnonzero(sums.any(axis=0))
+        return {"feature": found, "p": sums[1, found], "u": sums[0, found]}
+
+    counts = map_arrow(chosen, count, "feature int, p int, u int", {"feature": pa.int32(), "p": pa.int32(), "u": pa.int32()})
+    counts = counts.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    over = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt((F.col("u") + 1) / n_u / n_p)
+    used = np.sort(counts.filter((over >= OVER) & (F.col("p") >= 2)).select("feature").toPandas()["feature"].to_numpy(np.int64))
 
     def numbers(rows: dict) -> dict:
+        mask = np.zeros(SLOTS, bool)
+        mask[used] = True
+        features = Features(mask)
         found = [features(t) for t in rows["text"]]
         packed = {"words": [x.astype(np.int32).tobytes() for x, _ in found], "counts": [n.astype(np.int32).tobytes() for _, n in found]}
         return {"toxic": rows["toxic"]} | packed
 
     columns = {"toxic": pa.bool_(), "words": pa.binary(), "counts": pa.binary()}
-    rows = map_arrow(chosen.select("text", "toxic"), numbers, "toxic boolean, words binary, counts binary", columns).collect()
+    rows = map_arrow(chosen, numbers, "toxic boolean, words binary, counts binary", columns).collect()
     read = lambda x: np.frombuffer(bytes(x), np.int32).astype(np.int64)
     found = sorted((r["toxic"], bytes(r["words"]), bytes(r["counts"])) for r in rows)
-    return fit(*([(read(w), read(n)) for toxic, w, n in found if toxic == kind] for kind in (True, False)), float(prior))
+    return fit(*([(read(w), read(n)) for toxic, w, n in found if toxic == kind] for kind in (True, False)), float(prior), used)
 
 
 def toxicity(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
