@@ -61,6 +61,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_WORDS = "regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')"
+_BIGRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+
 ORACLES: dict[str, str] = {
     "op4_decontaminate": """
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM documents),
@@ -70,4 +77,36 @@ bs AS (SELECT DISTINCT brow, item_id, unnest(list_transform(range(1, greatest(2,
 n AS (SELECT brow, count(*) AS shingles FROM bs GROUP BY brow)
 SELECT doc_id, item_id, CAST(count(*) AS INTEGER) AS held, CAST(any_value(shingles) AS INTEGER) AS shingles
 FROM ds JOIN bs USING (s) JOIN n USING (brow) GROUP BY row, doc_id, brow, item_id HAVING count(*) >= 0.8 * any_value(shingles) - 1e-9""",
+    "op7_licences": f"""
+WITH t(licence, notice) AS (VALUES {", ".join(f"({_text(name)}, {_text(notice)})" for name, notice in licences.TEMPLATES)}),
+n AS (SELECT t, licence, {_BIGRAMS} AS b FROM (SELECT row_number() OVER () AS t, licence, {_WORDS.format(text="notice")} AS w FROM t) q),
+tb AS (SELECT t, unnest(b) AS b FROM n),
+d AS (SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS raw FROM documents WHERE text IS NOT NULL),
+x AS (SELECT r, doc_id, raw, unnest(range(1, len(raw) + 1)) AS k FROM d),
+y AS (SELECT r, doc_id, k - 1 AS k, raw[k] AS line FROM x WHERE regexp_matches(raw[k], '\\S')),
+g AS (SELECT *, k - row_number() OVER (PARTITION BY r ORDER BY k) AS block FROM y),
+p AS (SELECT r, doc_id, min(k) AS a, max(k) AS z, string_agg(line, chr(10) ORDER BY k) AS said FROM g GROUP BY r, doc_id, block HAVING count(*) > 1),
+u AS (SELECT row_number() OVER () AS u, * FROM (SELECT doc_id, 'line' AS unit, k AS a, k AS z, line AS said FROM y
+  UNION ALL SELECT doc_id, 'paragraph', a, z, said FROM p) q),
+ub AS (SELECT u, doc_id, unit, a, z, {_BIGRAMS} AS b FROM (SELECT *, {_WORDS.format(text="said")} AS w FROM u) q),
+e AS (SELECT u, len(b) AS size, unnest(b) AS b FROM ub),
+m AS (SELECT u, t, 2.0 * count(*) / (any_value(size) + any_value(len(n.b))) AS dice FROM e JOIN tb USING (b) JOIN n USING (t) GROUP BY u, t),
+best AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY dice DESC, licence) AS k FROM m JOIN n USING (t) WHERE dice >= 0.8 - 1e-9)
+SELECT doc_id, unit, CAST(a AS INTEGER) AS first_line, CAST(z AS INTEGER) AS last_line, licence, CAST(round(dice, 6) AS DOUBLE) AS dice
+FROM best JOIN ub USING (u) WHERE k = 1""",
+    "op9_linededup": """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS raw FROM documents),
+n AS (SELECT *, list_filter(range(1, len(raw) + 1), lambda k: trim(raw[k], ' ') <> '') AS pos FROM d),
+l AS (SELECT *, list_transform(pos, lambda k: length(trim(raw[k], ' ')) - length(replace(trim(raw[k], ' '), ' ', '')) + 1) AS w FROM n),
+i AS (SELECT *, unnest(range(1, len(pos) + 1)) AS i FROM l),
+s AS (SELECT *, unnest(range(1, least(50, len(pos) - i + 1) + 1)) AS m FROM i),
+r AS (SELECT doc_id, i, m, w[i] AS a, w[i + m - 1] AS z, list_sum(w[i:i + m - 1]) AS total, list_transform(pos[i:i + m - 1], lambda k: raw[k]) AS lines FROM s),
+runs AS (SELECT doc_id, i, m, lines FROM r WHERE total >= 50 AND (total - a < 50 OR total - z < 50)),
+f AS (SELECT lines, min(struct_pack(d := doc_id, i := i)) AS first FROM runs GROUP BY lines),
+c AS (SELECT runs.doc_id, unnest(range(runs.i, runs.i + runs.m)) AS k FROM runs JOIN f USING (lines) WHERE f.first <> struct_pack(d := runs.doc_id, i := runs.i)),
+gone AS (SELECT doc_id, list(DISTINCT k) AS gone FROM c GROUP BY doc_id)
+SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transform(
+    list_filter(range(1, len(raw) + 1), lambda k: NOT list_contains(list_transform(gone, lambda j: pos[j]), k)), lambda k: raw[k]), chr(10)) END AS text,
+  CAST(coalesce(len(gone), 0) AS INTEGER) AS lines_removed
+FROM n LEFT JOIN gone USING (doc_id)""",
 }
