@@ -33,7 +33,7 @@ from crawlframe.llm.common import map_arrow, stored
 #: Stands before a text's first character; a text's own U+FDD0, which is no character, reads the same.
 BEGIN = 0xFDD0
 BITS = 21
-PACK_ROWS, PACK_CHARS = 2048, 4_000_000
+PACK_ROWS, PACK_CHARS = 2048, 1_000_000
 #: Trigrams in a shard of the model, and texts whose packs meet in one task.
 SHARD_GRAMS, SALT_ROWS = 250_000, 32_768
 #: Bits of the filter that spares other texts than trusted ones the join with the trusted ids.
@@ -104,20 +104,24 @@ def text_print(text: str | None) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _parts(texts: list) -> list[tuple[int, int]]:
+    """Bounds of parts of at most PACK_CHARS characters, or of one longer text."""
+    bounds, size = [0], 0
+    for k, text in enumerate(texts):
+        size += len(text or "")
+        if size > PACK_CHARS and k > bounds[-1]:
+            bounds.append(k)
+            size = len(text or "")
+    return list(zip(bounds, [*bounds[1:], len(texts)], strict=True))
+
+
 def packs(docs: DataFrame) -> DataFrame:
     """Trigrams of all texts, in packs of texts. Rows of ids and texts alike may share a pack or not."""
 
     def pack(rows: dict) -> dict:
         out: dict[str, list] = {name: [] for name in PACK_COLUMNS}
-        ids, texts, size = [], [], 0
-        for doc_id, text in zip([*rows["doc_id"], None], [*rows["text"], None], strict=True):
-            last = len(ids) + sum(map(len, out["docs"])) // 8 >= len(rows["text"])
-            if ids and (last or size + len(text or "") > PACK_CHARS):
-                _add_pack(out, ids, texts)
-                ids, texts, size = [], [], 0
-            ids.append(doc_id)
-            texts.append(text)
-            size += len(text or "")
+        for at, stop in _parts(rows["text"]):
+            _add_pack(out, rows["doc_id"][at:stop], rows["text"][at:stop])
         return out
 
     return map_arrow(docs.select("doc_id", "text"), pack, PACK, PACK_COLUMNS, rows=PACK_ROWS)
@@ -166,9 +170,13 @@ def trigram_counts(texts: DataFrame) -> DataFrame:
     """``gram, n``: how often each trigram occurs in the texts."""
 
     def count(rows: dict) -> dict:
-        gram, _, times = postings([t or "" for t in rows["text"]])
-        heads = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
-        return {"gram": gram[heads], "n": np.add.reduceat(times, heads) if len(heads) else times}
+        out: dict[str, list] = {"gram": [], "n": []}
+        for at, stop in _parts(rows["text"]):
+            gram, _, times = postings([t or "" for t in rows["text"][at:stop]])
+            heads = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
+            out["gram"].append(gram[heads])
+            out["n"].append(np.add.reduceat(times, heads) if len(heads) else times)
+        return {name: np.concatenate(parts) for name, parts in out.items()}
 
     counts = map_arrow(texts.select("text"), count, "gram long, n long", {"gram": pa.int64(), "n": pa.int64()}, rows=PACK_ROWS)
     return counts.groupBy("gram").agg(F.sum("n").alias("n"))
