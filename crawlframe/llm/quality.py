@@ -299,7 +299,7 @@ def log_perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     sums = _split(packed, shards, salts).groupBy("shard", "salt").cogroup(model.groupBy("shard", "salt"))
     found = sums.applyInPandas(_sum_shard, "doc long, print long, log_p double, chars long")
     found = found.groupBy("doc", "print").agg(F.sum("log_p").alias("log_p"), F.sum("chars").alias("chars"))
-    return found.select("doc", "print", "chars", F.round(-F.col("log_p") / F.col("chars"), 4).alias("log_ppl"))
+    return found.select("doc", "print", "chars", F.round(-F.try_divide("log_p", "chars"), 4).alias("log_ppl"))
 
 
 def quality(docs: DataFrame, labels: DataFrame, spread: float = SPREAD, slack: float = SLACK) -> DataFrame:
@@ -319,7 +319,7 @@ def quality(docs: DataFrame, labels: DataFrame, spread: float = SPREAD, slack: f
     every = known.agg(F.percentile("log_ppl", F.array(F.lit(0.5), F.lit(0.95)))).first()[0]
     common = every[0] + spread * (every[1] - every[0]) if every else float("inf")
     limits = parts.filter(F.col("n") >= LEAST_TEXTS).select("lang", (F.col("q")[0] + spread * (F.col("q")[1] - F.col("q")[0])).alias("limit"))
-    limit = F.coalesce("limit", F.lit(common)) + F.coalesce(slack / F.sqrt("chars"), F.lit(0.0))
+    limit = F.coalesce("limit", F.lit(common)) + F.coalesce(F.try_divide(F.lit(slack), F.sqrt("chars")), F.lit(0.0))
     out = rows.join(limits, "lang", "left").withColumn("limit", limit)
     return out.select("doc_id", "lang", "chars", "log_ppl", F.exp("log_ppl").alias("perplexity"), "limit", F.coalesce(F.col("log_ppl") <= F.col("limit"), F.lit(False)).alias("kept"), "print")
 
