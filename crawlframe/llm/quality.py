@@ -35,7 +35,7 @@ BEGIN = 0xFDD0
 BITS = 21
 PACK_ROWS, PACK_CHARS = 2048, 1_000_000
 #: Trigrams in a shard of the model, and texts whose packs meet in one task.
-SHARD_GRAMS, SALT_ROWS = 250_000, 32_768
+SHARD_GRAMS, SALT_ROWS = 250_000, 16_384
 #: Bits of the filter that spares other texts than trusted ones the join with the trusted ids.
 FILTER_BITS = 1 << 23
 SPREAD, SLACK = 3.0, 5.0
@@ -163,7 +163,8 @@ def trusted_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         at = slots.to_numpy(np.int64)
         return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool))
 
-    return docs.filter("doc_id is not null").filter(maybe(slot)).join(trusted, "doc_id", "left_semi")
+    # One plan at every size: the ids are never broadcast.
+    return docs.filter("doc_id is not null").filter(maybe(slot)).join(trusted.hint("merge"), "doc_id", "left_semi")
 
 
 def trigram_counts(texts: DataFrame) -> DataFrame:
