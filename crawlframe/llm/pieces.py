@@ -33,7 +33,7 @@ MARK = "▁"
 #: Words: blanks and what follows them, or blanks at the end.
 WORD = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 #: Characters of text drawn together; a longer text is drawn alone.
-CHUNK = 4_000_000
+CHUNK = 500_000
 #: A character written as bytes weighs this much less than the lightest piece (natural logarithm).
 BYTE_PENALTY = 10.0
 #: Shares of a node's arcs are whole parts of this.
@@ -290,4 +290,4 @@ def sample_pieces(docs: DataFrame, model: str = MODEL, alpha: float = 1.0, seed:
 
     kind = docs.schema[key].dataType
     columns = {key: pa.string() if kind.typeName() == "string" else pa.int64(), "n_pieces": pa.int32(), "ids": pa.list_(pa.int32()), "decoded": pa.string()}
-    return map_arrow(docs.select(key, "text"), run, f"{key} {kind.simpleString()}, n_pieces int, ids array<int>, decoded string", columns, rows=1024)
+    return map_arrow(docs.select(key, "text"), run, f"{key} {kind.simpleString()}, n_pieces int, ids array<int>, decoded string", columns, rows=512)
