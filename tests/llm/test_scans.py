@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,3 +299,29 @@ def test_neighbours_of_odd_rows(spark):
         assert [(-r["score"], r["vec_id"]) for r in mine] == want and [r["rank"] for r in mine] == [1, 2, 3, 4, 5]
     assert vectors.search(rows.filter("vec_id in (20, 21)"), F.col("vec_id") % 20 == 0, k=5).count() == 1
     assert vectors.search(rows.filter("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.3])
+def test_recall_with_unequal_lengths_and_one_long_row(spark, spread):
+    rng = np.random.default_rng(7)
+    rows = rng.standard_normal((20_000, 64))
+    rows *= np.exp(spread * rng.standard_normal((20_000, 1))) / np.linalg.norm(rows, axis=1, keepdims=True)
+    rows[11] *= 2 * np.linalg.norm(rows, axis=1).max() / np.linalg.norm(rows[11])
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(20_000), "embedding": rows.tolist()}))
+    found = vectors.search(frame, F.col("vec_id") % 200 == 0, k=20)
+    assert vectors.recall(found, frame, F.col("vec_id") % 200 == 0) >= 0.9
+
+
+def test_classes_of_length_spare_rows():
+    rng = np.random.default_rng(8)
+    rows = rng.standard_normal((20_000, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    rows[11] *= 50
+    coder = vectors.fit_sample(rows[:4096])
+    held = vectors.Classes(np.arange(20_000), rows, coder)
+    hits = 0
+    for k, own in enumerate(coder.substrings(rows[100:140], True), 100):
+        scores = rows @ rows[k]
+        scores[k] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20]) & set(held.nearest(k, rows[k], own, 20, vectors.RADIUS)[0]))
+    assert hits / 800 >= 0.9 and held.looked <= 0.5 * 40 * 20_000
