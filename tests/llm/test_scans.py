@@ -175,6 +175,37 @@ def test_licences_of_odd_rows(spark):
     assert licences.licences(frame(spark, rows), []).count() == 0 and licences.licences(frame(spark, [])).count() == 0
 
 
+def test_notices_laid_out_otherwise(spark):
+    whole = dict(licences.all_templates()[-len(list(licences.Path(licences.__file__).parent.glob("licence_texts/*.txt"))) :])
+    mit = "MIT License Copyright (c) 2020 Some Body " + " ".join(whole["MIT"].split())
+    header = licences.TEMPLATES[1][1].replace(" http://www.apache.org/licenses/LICENSE-2.0 ", "\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n")
+    rows = [(1, header), (2, mit), (3, "invented words " * 40 + "Released under the MIT License. " + "and other words " * 40), (4, whole["GPL-3.0"]), (5, "the words of the author of the text in the same " * 500)]
+    found = {(r["doc_id"], r["unit"], r["licence"]) for r in licences.licences(frame(spark, rows)).collect()}
+    assert {(1, "window", "Apache-2.0"), (3, "window", "MIT"), (4, "window", "GPL-3.0")} <= found
+    assert any(doc_id == 2 and licence == "MIT" for doc_id, _, licence in found)
+    assert not any(doc_id == 5 for doc_id, _, _ in found)
+
+
+def test_windows_equal_brute_force():
+    rng = random.Random(4)
+    for least in (0.6, 0.8):
+        for _ in range(60):
+            template, words = " ".join(rng.choices("abcde", k=9)), rng.choices("abcdefg", k=40)
+            theirs = licences.bigrams(template)
+            dice = {}
+            for a, z in itertools.combinations(range(40), 2):
+                own = licences.bigrams(" ".join(words[a : z + 1]))
+                dice[a, z] = 2 * len(own & theirs) / (len(own) + len(theirs))
+            got = licences.Matcher([("T", template)], least).windows(words)
+            best = max(dice.values())
+            assert (best >= least - 1e-9) == bool(got)
+            assert not got or got[0][0] == pytest.approx(best)
+            assert all(d == pytest.approx(dice[a, z]) for d, _, a, z in got)
+            # Nothing at or over the limit is left beside the windows that were given.
+            taken = {k for _, _, a, z in got for k in range(a, z + 1)}
+            assert all(d < least - 1e-9 or taken.intersection(range(a, z + 1)) for (a, z), d in dice.items())
+
+
 # ---- toxicity
 
 
