@@ -276,8 +276,8 @@ def _sum_shard(pack_rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         grams, sizes, text, times = _read_pack(row)
         docs, prints = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["prints"], np.int64)
         each = np.repeat(logs[np.searchsorted(known, grams)], sizes) if len(grams) else np.empty(0)
-        found.append(pd.DataFrame({"doc": docs, "print": prints, "log_p": np.bincount(text, each * times, len(docs)), "chars": np.bincount(text, times, len(docs)).astype(np.int64)}))
-    return pd.concat(found) if found else pd.DataFrame({"doc": [], "print": [], "log_p": [], "chars": []})
+        found.append(pd.DataFrame({"doc": docs, "print": prints, "log_p": np.bincount(text, each * times, len(docs)), "chars": np.bincount(text, times, len(docs)).astype(np.int64), "copies": int(row["shard"] == 0)}))
+    return pd.concat(found) if found else pd.DataFrame({"doc": [], "print": [], "log_p": [], "chars": [], "copies": []})
 
 
 def log_perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -298,9 +298,10 @@ def log_perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         shard_of = owner("gram")
     model = logs.withColumn("shard", shard_of if shards > 1 else F.lit(0)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     sums = _split(packed, shards, salts).groupBy("shard", "salt").cogroup(model.groupBy("shard", "salt"))
-    found = sums.applyInPandas(_sum_shard, "doc long, print long, log_p double, chars long")
-    found = found.groupBy("doc", "print").agg(F.sum("log_p").alias("log_p"), F.sum("chars").alias("chars"))
-    return found.select("doc", "print", "chars", F.round(-F.try_divide("log_p", "chars"), 4).alias("log_ppl"))
+    found = sums.applyInPandas(_sum_shard, "doc long, print long, log_p double, chars long, copies long")
+    # Rows alike share a sum; each is in shard 0 once.
+    found = found.groupBy("doc", "print").agg(F.sum("log_p").alias("log_p"), F.sum("chars").alias("chars"), F.sum("copies").alias("copies"))
+    return found.select("doc", "print", F.expr("chars div copies").alias("chars"), F.round(-F.try_divide("log_p", "chars"), 4).alias("log_ppl"))
 
 
 def quality(docs: DataFrame, labels: DataFrame, spread: float = SPREAD, slack: float = SLACK) -> DataFrame:

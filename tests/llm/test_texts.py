@@ -190,6 +190,21 @@ def test_quality_of_odd_rows(spark):
     assert quality.quality(frame(spark, []), labels).count() == 0
 
 
+@pytest.mark.parametrize("shard_grams", [250_000, 10])
+def test_repeated_rows_score_as_one(spark, shard_grams, monkeypatch):
+    monkeypatch.setattr(quality, "SHARD_GRAMS", shard_grams)
+    monkeypatch.setattr(quality, "SALT_ROWS", 1_000)
+    trusted = [(k, f"the cat number {k} sat on the mat and slept well") for k in range(1, 31)]
+    labels = spark.createDataFrame([(k, 1, 0) for k, _ in trusted], "doc_id long, quality int, toxic int")
+    near = "the mat sat well"
+    scores = {}
+    for times in (1, 1000):
+        rows = quality.quality(frame(spark, trusted + [(90, near), (None, near)] * times), labels, slack=2.0).filter("doc_id is null or doc_id = 90").collect()
+        assert len(rows) == 2 * times
+        scores[times] = {(r["doc_id"], r["chars"], round(r["log_ppl"], 3), round(r["limit"], 3), r["kept"]) for r in rows}
+    assert scores[1] == scores[1000] and {chars for _, chars, *_ in scores[1]} == {len(near)}
+
+
 def test_text_print_is_the_sql_hash(spark):
     from pyspark.sql import functions as F
 
