@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from crawlframe.functions.bind import bind
 
-# Suffixes used when the caller gives no public-suffix list. A full list (wildcard ``*.x`` and
-# exception ``!y.x`` rules included) is passed as a parameter; it becomes a hash set in the plan.
-DEFAULT_SUFFIXES = ("si", "com", "net", "org", "edu", "gov", "int", "mil", "eu", "de", "at", "it", "hr", "hu",
-                    "fr", "es", "uk", "co.uk", "ac.uk", "gov.uk", "org.uk")
+#: The list of publicsuffix.org as Debian ships it, used when the caller gives no other.
+PUBLIC_SUFFIXES = Path(__file__).parent / "public_suffix_list.dat"
+
+
+def read_public_suffixes(text: str, private: bool = False) -> tuple[str, ...]:
+    """Rules of a public-suffix text, wildcards ``*.x`` and exceptions ``!y.x`` included.
+
+    A rule is a line up to its first white space; empty lines and comments (``//``) are none. Names outside
+    ASCII are given in their own script and as hosts write them (``xn--``). Rules between the marks of
+    private domains are left out unless ``private``.
+    """
+    out, skipped = [], False
+    for line in text.splitlines():
+        if line.startswith("//"):
+            if "===BEGIN PRIVATE DOMAINS===" in line or "===END PRIVATE DOMAINS===" in line:
+                skipped = "BEGIN" in line and not private
+            continue
+        rule = line.split(maxsplit=1)[0].lower() if line.strip() else ""
+        if rule and not skipped:
+            out.append(rule)
+            if not rule.isascii():
+                mark = re.match(r"(?:!|\*\.)?", rule)[0]
+                out.append(mark + rule[len(mark):].encode("idna").decode("ascii"))
+    return tuple(dict.fromkeys(out))
+
+
+@cache
+def public_suffixes() -> tuple[str, ...]:
+    return read_public_suffixes(PUBLIC_SUFFIXES.read_text("utf-8"))
 
 
 def host_name(url: Column) -> Column:
@@ -22,12 +50,14 @@ def host_name(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.substring_index(after_user, ":", 1), r"\.+\z", ""))
 
 
-def registered_domain(host: Column, suffixes: Sequence[str] = DEFAULT_SUFFIXES) -> Column:
+def registered_domain(host: Column, suffixes: Sequence[str] | None = None) -> Column:
     """Struct (subdomain, domain, suffix) of a host.
 
     A host under no listed suffix gets an empty suffix and its last label as domain; an IPv4
-    address is its own domain.
+    address is its own domain. Without ``suffixes`` the rules are those of the public-suffix list, which
+    become a hash set in the plan.
     """
+    suffixes = public_suffixes() if suffixes is None else suffixes
     # Bound once: inside the lambdas below host and labels would be derived anew for every label.
     return bind(host, lambda h: bind(F.split(h, r"\."), lambda labels: _registered(h, labels, suffixes)))
 

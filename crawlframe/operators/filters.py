@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from crawlframe.functions.content import IMAGE_EXTENSIONS, extension_datatype, extension_route, fetch_extension
 from crawlframe.functions.content import default_status as status_or_default
-from crawlframe.functions.domains import DEFAULT_SUFFIXES, host_name, registered_domain
+from crawlframe.functions.domains import host_name, registered_domain
 from crawlframe.schema import REGISTERED_DOMAINS
 
 # Link schemes that lead to no page, wherever they stand in the link.
@@ -41,7 +41,7 @@ def filter_registered_domain(
     df: DataFrame,
     url: str,
     allowed: Sequence[tuple[str, str]] = REGISTERED_DOMAINS,
-    suffixes: Sequence[str] = DEFAULT_SUFFIXES,
+    suffixes: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows whose URL lies under one of the allowed (domain, suffix) pairs.
 
@@ -76,7 +76,7 @@ def filter_image_types(images: DataFrame, extension: str = "extension") -> DataF
     return images.where(F.col(extension).isin(IMAGE_EXTENSIONS))
 
 
-def filter_image_sources(images: DataFrame, src: str = "src", suffixes: Sequence[str] = DEFAULT_SUFFIXES) -> DataFrame:
+def filter_image_sources(images: DataFrame, src: str = "src", suffixes: Sequence[str] | None = None) -> DataFrame:
     """Images that are ``data:`` URIs or lie outside the excluded registered domain."""
     is_data = F.col(src).rlike("(?i)^data:")
     domain = registered_domain(host_name(F.col(src)), suffixes)["domain"]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from crawlframe import schema
 from crawlframe.functions.content import content_hash, default_status
-from crawlframe.functions.domains import DEFAULT_SUFFIXES
 from crawlframe.functions.html import extract_images, extract_links
 from crawlframe.functions.place import place, place_high, place_low
 from crawlframe.functions.urls import canonicalize_url, resolve_link, url_domain
@@ -138,7 +137,7 @@ def page_links(
     include: DataFrame | None = None,
     exclude: DataFrame | None = None,
     registered: Sequence[tuple[str, str]] | None = None,
-    suffixes: Sequence[str] = DEFAULT_SUFFIXES,
+    suffixes: Sequence[str] | None = None,
     raw_filter: bool = False,
 ) -> DataFrame:
     """Filtered links (seq, pos, parent_url, url, host) of pages (seq, url, html), the target canonical.

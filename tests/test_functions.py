@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from crawlframe.operators import filters
 from crawlframe.functions import content, domains, robots, urls
 from crawlframe.functions.place import place, place_high, place_low
 from crawlframe.functions.html import extract_images, extract_links
@@ -102,6 +103,21 @@ def test_registered_domain(spark):
     assert values(spark, ["https://u:p@WWW.A.si.:80/x", "/p"], domains.host_name) == ["www.a.si", ""]
 
 
+def test_public_suffix_list(spark):
+    text = "// c\n\ncom  // note\n*.ck\n!www.ck\nJP\n公司.cn\n// ===BEGIN PRIVATE DOMAINS===\nblogspot.com\n// ===END PRIVATE DOMAINS===\nat"
+    rules = ["com", "*.ck", "!www.ck", "jp", "公司.cn", "xn--55qx5d.cn", "at"]
+    assert list(domains.read_public_suffixes(text)) == rules
+    assert list(domains.read_public_suffixes(text, private=True)) == [*rules[:-1], "blogspot.com", "at"]
+    cases = {
+        "a.cms.io": ("a", "cms", "io"), "www.cms.co.jp": ("www", "cms", "co.jp"), "x.com.au": ("", "x", "com.au"), "a.b.c.ck": ("a", "b", "c.ck"),
+        "x.www.ck": ("x", "www", "ck"), "www.gov.si": ("www", "gov", "si"), "a.b.unlisted": ("a.b", "unlisted", ""),
+    }
+    got = values(spark, list(cases), domains.registered_domain)
+    assert [(g["subdomain"], g["domain"], g["suffix"]) for g in got if g["suffix"]] == [c for c in cases.values() if c[2]]
+    images = spark.createDataFrame([("http://a.cms.io/1.png",), ("http://www.cms.co.jp/1.png",), ("http://a.io/1.png",)], "src string")
+    assert [r.src for r in filters.filter_image_sources(images).collect()] == ["http://a.io/1.png"]
+
+
 HTML = [
     '<a href="/x">1</a><A class="b" HREF="/y?a=1&amp;b=2">2</A><img src="/i/1.png"><img alt="z" src="data:image/gif;base64,R0">',
     '<!-- <a href="/no"> --><script>var s = "<a href=/no2>";</script><a name="t">x</a><a href="">e</a><a data-href="n">n</a><img>',
