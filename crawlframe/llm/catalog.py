@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.llm import decontaminate, identifiers, licences, linededup, pieces, quality, secrets, simhash, toxicity, vectors
+from crawlframe.llm import decontaminate, identifiers, licences, linededup, manifest, pieces, quality, secrets, simhash, toxicity, vectors
 from crawlframe.llm.common import table
 
 
@@ -53,11 +53,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    rows = manifest.manifest(table(spark, sf_dir, "documents"), changed=marked)
+    paths, said = (F.col("path"), F.col("group_path")), manifest.hex_text
+    rows = rows.withColumn("folded", manifest.folded(F.col("altered"), *paths))
+    digests = [said(F.col(c)).alias(n) for c, n in (("leaf", "leaf"), ("subroot", "subroot"), ("root", "root"), ("folded", "folded_root"))]
+    return rows.select("doc_id", *digests, manifest.proof_digest(*paths).alias("proof_sha256"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_neighbours, op3_toxicity, op4_decontaminate, op5_identifiers,
-        op6_simhash, op7_licences, op8_quality, op9_linededup, op10_secrets,
+        op6_simhash, op7_licences, op8_quality, op9_linededup, op10_secrets, op11_manifest,
     )
 }
 
@@ -109,4 +118,28 @@ SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transf
     list_filter(range(1, len(raw) + 1), lambda k: NOT list_contains(list_transform(gone, lambda j: pos[j]), k)), lambda k: raw[k]), chr(10)) END AS text,
   CAST(coalesce(len(gone), 0) AS INTEGER) AS lines_removed
 FROM n LEFT JOIN gone USING (doc_id)""",
+    "op11_manifest": """
+WITH RECURSIVE w AS (SELECT doc_id, lang, n_chars,
+    list_transform([CAST(doc_id AS VARCHAR), source, lang], lambda v: coalesce(strlen(v) || ':' || v, '-')) AS f,
+    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS c, coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS c1,
+    coalesce(strlen(text) || ':' || text, '-') AS t,
+    xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)),
+      lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)::UBIGINT[]), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::UBIGINT) ELSE r >> 1 END)), 4294967295::UBIGINT) % 7 = 0 AS marked
+  FROM documents),
+l AS (SELECT *, sha256(concat(f[1], f[2], f[3], c, t)) AS leaf, sha256(concat(f[1], f[2], f[3], CASE WHEN marked THEN c1 ELSE c END, t)) AS altered FROM w),
+r AS (SELECT doc_id, f[3] AS g, lang, leaf, altered, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM l),
+nodes AS (SELECT g, lang, 0 AS lvl, pos, n, leaf AS h FROM r
+  UNION ALL SELECT g, any_value(lang), any_value(lvl) + 1, pos // 2, any_value(n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY g, pos // 2),
+subs AS (SELECT g, h, lvl, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS lvl, pos, n, h FROM subs
+  UNION ALL SELECT any_value(lvl) + 1, pos // 2, any_value(n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY pos // 2),
+every AS (SELECT g, lvl, pos, n, h FROM nodes WHERE n > 1 UNION ALL SELECT s.g, s.lvl + t.lvl, t.pos, t.n, t.h FROM subs s JOIN tops t ON t.n > 1),
+up AS (SELECT row_number() OVER () AS k, r.doc_id, r.leaf, r.g, 0 AS lvl, r.pos, s.lvl AS height, s.pos AS own, r.altered AS acc, '' AS path FROM r JOIN subs s USING (g)
+  UNION ALL SELECT u.k, u.doc_id, u.leaf, u.g, u.lvl + 1, CASE WHEN u.lvl + 1 = u.height THEN u.own ELSE u.pos // 2 END, u.height, u.own,
+    sha256(CASE WHEN u.pos % 2 = 0 THEN u.acc || coalesce(b.h, '') ELSE b.h || u.acc END), u.path || coalesce(b.h, '')
+  FROM (SELECT k, doc_id, leaf, g, lvl, CASE WHEN lvl = height THEN own ELSE pos END AS pos, height, own, acc, path FROM up) u JOIN (SELECT DISTINCT g, lvl FROM every) e ON e.g = u.g AND e.lvl = u.lvl
+    LEFT JOIN every b ON b.g = u.g AND b.lvl = u.lvl AND b.pos = xor(u.pos, 1)),
+done AS (SELECT any_value(doc_id) AS doc_id, any_value(leaf) AS leaf, any_value(g) AS g, arg_max(acc, lvl) AS folded_root, arg_max(path, lvl) AS path FROM up GROUP BY k)
+SELECT d.doc_id, d.leaf, s.h AS subroot, t.h AS root, sha256(d.path) AS proof_sha256, d.folded_root, d.folded_root = t.h AS verified
+FROM done d JOIN subs s ON s.g = d.g JOIN tops t ON t.n = 1""",
 }
