@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.llm import decontaminate, identifiers, licences, linededup, manifest, pieces, quality, secrets, simhash, toxicity, vectors
+from crawlframe.llm import decontaminate, extraction, identifiers, licences, linededup, manifest, pieces, quality, secrets, simhash, toxicity, vectors
 from crawlframe.llm.common import table
 
 
@@ -62,11 +62,17 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *digests, manifest.proof_digest(*paths).alias("proof_sha256"), (F.col("folded") == F.col("root")).alias("verified"))
 
 
+def op13_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_neighbours, op3_toxicity, op4_decontaminate, op5_identifiers,
-        op6_simhash, op7_licences, op8_quality, op9_linededup, op10_secrets, op11_manifest,
+        op6_simhash, op7_licences, op8_quality, op9_linededup, op10_secrets,
+        op11_manifest, op13_extraction,
     )
 }
 
