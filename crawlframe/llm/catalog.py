@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlframe.llm import decontaminate, extraction, identifiers, licences, linededup, manifest, pieces, quality, secrets, simhash, toxicity, vectors
+from crawlframe.llm import collocations, decontaminate, extraction, identifiers, licences, linededup, manifest, pieces, quality, secrets, simhash, toxicity, vectors
 from crawlframe.llm.common import table
 
 
@@ -62,6 +62,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *digests, manifest.proof_digest(*paths).alias("proof_sha256"), (F.col("folded") == F.col("root")).alias("verified"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return extraction.extract(pages, extraction.train(pages))
@@ -72,7 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_sentencepiece, op2_neighbours, op3_toxicity, op4_decontaminate, op5_identifiers,
         op6_simhash, op7_licences, op8_quality, op9_linededup, op10_secrets,
-        op11_manifest, op13_extraction,
+        op11_manifest, op12_collocations, op13_extraction,
     )
 }
 
@@ -148,4 +152,19 @@ up AS (SELECT row_number() OVER () AS k, r.doc_id, r.leaf, r.g, 0 AS lvl, r.pos,
 done AS (SELECT any_value(doc_id) AS doc_id, any_value(leaf) AS leaf, any_value(g) AS g, arg_max(acc, lvl) AS folded_root, arg_max(path, lvl) AS path FROM up GROUP BY k)
 SELECT d.doc_id, d.leaf, s.h AS subroot, t.h AS root, sha256(d.path) AS proof_sha256, d.folded_root, d.folded_root = t.h AS verified
 FROM done d JOIN subs s ON s.g = d.g JOIN tops t ON t.n = 1""",
+    "op12_collocations": """
+WITH p AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n-\\r]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, w, i, unnest(range(1, least(4, len(w) - i + 1) + 1)) AS k FROM i),
+f AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS gram, k, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, gram, k, f, string_split(gram, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+x AS (SELECT *, unnest(range(1, k)) AS m FROM c),
+s AS (SELECT x.lang, x.gram, x.k, x.f AS a, l.f AS l, r.f AS r, x.m, (2000000::HUGEINT * x.f) // (l.f + r.f) AS score
+  FROM x JOIN f l ON l.lang = x.lang AND l.gram = array_to_string(x.w[:x.m], ' ') JOIN f r ON r.lang = x.lang AND r.gram = array_to_string(x.w[x.m + 1:], ' ')),
+b AS (SELECT lang, gram, k, a, arg_min(struct_pack(l := l, r := r, score := score), score * 8 + m) AS b FROM s GROUP BY ALL),
+e AS (SELECT b.lang, b.gram FROM b JOIN b o ON o.lang = b.lang AND o.k > b.k AND contains(' ' || o.gram || ' ', ' ' || b.gram || ' ') AND 100 * o.a >= 80 * b.a),
+z AS (SELECT lang, gram AS phrase, a, b.l AS l, b.r AS r, b.score::BIGINT AS score FROM b ANTI JOIN e USING (lang, gram))
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM z JOIN t USING (lang)) q WHERE rank <= 2000""",
 }
