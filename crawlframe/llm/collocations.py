@@ -263,5 +263,6 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, **sizes: i
     said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ")
     rows = spelled.groupBy("gram", "f", "best").agg(F.first("lang").alias("lang"), said.alias("phrase")).select("lang", "phrase", F.col("f").alias("a"), "best.l", "best.r", "best.score")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    ranked = rows.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    # The plain comparison lets Spark keep the first of each task only before it brings a lang together.
+    ranked = rows.withColumn("rank", rank).filter(F.col("rank") <= top)
+    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
