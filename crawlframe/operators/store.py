@@ -14,14 +14,18 @@ from pyspark.sql import functions as F
 
 from crawlframe.functions.robots import robots_rules, rules_allow
 from crawlframe.operators.ids import assign_ids
+from crawlframe.sources.keyed import KeyedView
 
 
-def links_not_stored(links: DataFrame, pages: DataFrame) -> DataFrame:
+def links_not_stored(links: DataFrame, pages: DataFrame | KeyedView) -> DataFrame:
+    """Links whose URL is not stored. URLs in a keyed table are met where they lie, without a shuffle of them."""
+    if isinstance(pages, KeyedView):
+        return pages.without(links, ["url"])
     return links.join(pages.select("url"), "url", "left_anti")
 
 
-def links_not_seen(links: DataFrame, seen: DataFrame) -> DataFrame:
-    return links.join(seen.select("url"), "url", "left_anti")
+def links_not_seen(links: DataFrame, seen: DataFrame | KeyedView) -> DataFrame:
+    return links_not_stored(links, seen)
 
 
 def new_sites(domains: DataFrame, sites: DataFrame) -> DataFrame:

@@ -724,8 +724,8 @@ def _replay(spark: SparkSession, rows: DataFrame, order: str, root: str, start:
 @query("stream_dedup_urls")
 def stream_dedup_urls(spark: SparkSession, sf: str) -> DataFrame:
     root = run_dir(spark, "stream-urls")
-    _replay(spark, derived.links(spark, sf), "seq", root, lambda s: stream_dedup.start_dedup_urls(s, root, spread="seq"))
-    return spark.read.schema("url string").parquet(f"{root}/urls")
+    _replay(spark, derived.links(spark, sf), "seq", root, lambda s: stream_dedup.start_dedup_urls(s, root, order="seq"))
+    return spark.read.parquet(f"{root}/urls").select("url")
 
 
 @query("stream_dedup_content")

@@ -17,6 +17,7 @@ from crawlframe.operators.dedup import dedup_by_url, firsts_by_hash
 from crawlframe.operators.ids import assign_ids
 from crawlframe.operators.store import attach_site, first_parent_links, links_not_seen, links_not_stored, new_sites
 from crawlframe.session import checkpointed
+from crawlframe.sources.keyed import KeyedTable, KeyedView
 from crawlframe.sources.store import conform, stored_before, write_links, write_page_data, write_pages, write_rows
 
 
@@ -155,7 +156,7 @@ def page_links(
     return filters.filter_exclude_hosts(filters.filter_include_hosts(links, include), exclude)
 
 
-def expand_frontier(pages: DataFrame, stored: DataFrame, queued: DataFrame | None = None, **link_filters) -> DataFrame:
+def expand_frontier(pages: DataFrame, stored: DataFrame | KeyedView, queued: DataFrame | KeyedView | None = None, **link_filters) -> DataFrame:
     """New queue rows (host, seq, pos, parent_url, url) from the links of pages (seq, url, html).
 
     ``link_filters`` go to :func:`page_links`; they come before the shuffle, which brings a URL's

@@ -10,6 +10,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def keyed_state(spark: SparkSession) -> None:
+    """Keep keyed state in RocksDB, on disk, unless the session names another store."""
+    if spark.conf.get(_PROVIDER).endswith(".HDFSBackedStateStoreProvider"):
+        spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def run_batches(stream: DataFrame, root: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Start ``handle(batch, batch_id)`` on every micro-batch until the input is drained."""
     return (

@@ -1,4 +1,9 @@
-"""Removal of repeats on streams."""
+"""Removal of repeats on streams.
+
+What a stream knows is a keyed table (:mod:`crawlframe.sources.keyed`), one row per key. A batch folds its
+copies by an aggregate, which combines before the shuffle, and only then meets the table, so a key with very
+many copies is one row there and in every join.
+"""
 
 from __future__ import annotations
 
@@ -8,36 +13,40 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from crawlframe.functions.urls import canonicalize_url
-from crawlframe.operators.dedup import content_firsts, dedup_by_content
-from crawlframe.streaming.batches import earlier_batches, run_batches, write_batch
+from crawlframe.operators.dedup import content_firsts, dedup_by_content, dedup_by_url
+from crawlframe.session import checkpointed
+from crawlframe.sources.keyed import KeyedTable
+from crawlframe.streaming.batches import run_batches, write_batch
 
+_URL = T.StructType([T.StructField("url", T.StringType())])
 _FIRSTS = T.StructType([T.StructField("html_hash", T.StringType()), T.StructField("seq", T.LongType())])
 
 
-def stream_dedup_urls(stream: DataFrame, url: str = "url", spread: str | None = None, salts: int = 32) -> DataFrame:
-    """Each canonical URL once, ever. The state keeps every URL: use the RocksDB state store.
+def known_urls(stream: DataFrame, root: str) -> KeyedTable:
+    return KeyedTable(stream.sparkSession, f"{root}/state", _URL, ["url"])
+
+
+def start_dedup_urls(stream: DataFrame, root: str, order: str | None = None) -> StreamingQuery:
+    """Each canonical URL (column ``url``) once, ever, into ``root/urls``: its first row by ``order``, any of the first batch without.
 
-    Rows of a URL meet in one task. ``spread`` names a column that differs between copies; a
-    first pass then drops copies per (URL, hash of that column), so that a URL with very many
-    copies is spread over many tasks and at most ``salts`` of its rows reach the second pass.
+    The state, ``root/state``, has one row per URL, however many copies arrive. Rows without a URL are dropped.
     """
-    canonical = stream.withColumn(url, canonicalize_url(stream[url]))
-    if spread is not None:
-        salted = canonical.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-        canonical = salted.dropDuplicates([url, "_salt"]).drop("_salt")
-    return canonical.dropDuplicates([url])
 
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.where(F.col("url").isNotNull()).withColumn("url", canonicalize_url(F.col("url")))
+        rest = [c for c in rows.columns if c != "url"]
+        if order is not None:
+            folded = dedup_by_url(rows, order=order)
+        elif rest:
+            folded = rows.groupBy("url").agg(F.first(F.struct(*rest)).alias("_row")).select("url", "_row.*").select(*rows.columns)
+        else:
+            folded = rows.distinct()
+        table = known_urls(batch, root)
+        fresh = checkpointed(table.before(batch_id).without(folded))
+        write_batch(fresh, f"{root}/urls", batch_id)
+        table.add(fresh.select("url"), batch_id)
 
-def start_dedup_urls(stream: DataFrame, root: str, spread: str | None = None) -> StreamingQuery:
-    return (
-        stream_dedup_urls(stream, spread=spread)
-        .writeStream.format("parquet")
-        .option("path", f"{root}/urls")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    return run_batches(stream, root, handle)
 
 
 def start_dedup_content(stream: DataFrame, root: str) -> StreamingQuery:
@@ -47,10 +56,9 @@ def start_dedup_content(stream: DataFrame, root: str) -> StreamingQuery:
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        known = earlier_batches(batch.sparkSession, f"{root}/hashes", _FIRSTS, batch_id)
-        fresh = content_firsts(batch, known=known)
-        write_batch(fresh, f"{root}/hashes", batch_id)
-        written = batch.sparkSession.read.schema(_FIRSTS).parquet(f"{root}/hashes/batch_id={batch_id}")
-        write_batch(dedup_by_content(batch, firsts=written), f"{root}/pages", batch_id)
+        table = KeyedTable(batch.sparkSession, f"{root}/hashes", _FIRSTS, ["html_hash"], fold=F.min)
+        fresh = checkpointed(table.before(batch_id).without(content_firsts(batch)))
+        write_batch(dedup_by_content(batch, firsts=fresh), f"{root}/pages", batch_id)
+        table.add(fresh, batch_id)
 
     return run_batches(stream, root, handle)
