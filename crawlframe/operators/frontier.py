@@ -8,15 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlframe.operators.filters import ready_hosts
-from crawlframe.operators.skew import BOUNDS, MIN_ROWS, PIECE, PIECES, earlier_pieces, piece_window, rank_in_group
-from crawlframe.operators.skew import split_hot_groups
+from crawlframe.operators.skew import PIECE, cut_in_pieces, earlier_pieces, piece_window, rank_in_group, with_carried
 
 
-def frontier_positions(
-    queue: DataFrame, ties: Sequence[str] = (), min_rows: int = MIN_ROWS, pieces: int = PIECES
-) -> DataFrame:
+def frontier_positions(queue: DataFrame, ties: Sequence[str] = (), pieces: int | None = None) -> DataFrame:
     """Add ``position``: first-in-first-out place of each row in its host's queue, by ``seq``, then ``ties``."""
-    return rank_in_group(queue, "host", "seq", "position", ties, min_rows, pieces)
+    return rank_in_group(queue, "host", "seq", "position", ties, pieces)
 
 
 def frontier_heads(queue: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
@@ -36,52 +33,42 @@ def distinct_frontier(queue: DataFrame) -> DataFrame:
 
 
 def politeness_slots(
-    requests: DataFrame,
-    last_slots: DataFrame | None = None,
-    first_fetch_waits: bool = False,
-    min_rows: int = MIN_ROWS,
-    pieces: int = PIECES,
+    requests: DataFrame, last_slots: DataFrame | None = None, first_fetch_waits: bool = False, pieces: int | None = None
 ) -> DataFrame:
     """Add ``slot_us``, the earliest permitted fetch time of each request.
 
     ``requests`` has (host, seq, arrival_us, limit_us), the limit being one per host. The rule
     ``slot(n) = max(arrival(n), slot(n-1) + limit)`` is taken in closed form, ``n * limit +
-    max over k <= n of (arrival(k) - k * limit)``: a running maximum. A hot host is cut into
-    pieces; a piece needs of the earlier ones only their row count and maximum.
+    max over k <= n of (arrival(k) - k * limit)``: a running maximum. Requests are cut into pieces in order of
+    host, arrival and ``seq``; a piece needs of the host's earlier ones only their row count and maximum.
 
     ``last_slots`` (host, last_slot_us) continues from earlier requests: a host's last slot goes
     in as its request number 0, which costs no join. With ``first_fetch_waits`` the clock of a
     host without one starts at its first arrival.
     """
-    key = "host"
+    key, order = "host", ["_new", "arrival_us", "seq"]
     rows = requests.withColumn("_new", F.lit(1))
     if last_slots is not None:
         rows = rows.unionByName(
             last_slots.select(key, F.col("last_slot_us").alias("arrival_us"), F.lit(0).alias("_new")), allowMissingColumns=True
         )
-    cut, any_hot = split_hot_groups(rows, key, "arrival_us", min_rows, pieces)
-    cut = cut.withColumn(PIECE, F.when(F.col("_new") == 1, F.col(PIECE)).otherwise(F.lit(0)))
-    local = piece_window(key, "_new", "arrival_us", "seq")
-    so_far = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = cut_in_pieces(rows, key, order, pieces)
+    so_far = piece_window(key, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     limit = F.coalesce("limit_us", F.lit(0))
     numbered = cut.withColumn("_n", F.sum("_new").over(so_far)).withColumn("_v", F.col("arrival_us") - F.col("_n") * limit)
     running = numbered.withColumn("_run", F.max("_v").over(so_far)).withColumn("_open", F.first("arrival_us").over(so_far))
 
-    if any_hot:
-        earlier = earlier_pieces(key)
-        summary = (
-            numbered.where(F.col(BOUNDS).isNotNull())
-            .groupBy(key, PIECE)
-            .agg(F.sum("_new").alias("_m"), F.max("_v").alias("_vmax"), F.max("limit_us").alias("_limit"),
-                 F.min_by("arrival_us", F.struct("_new", "arrival_us")).alias("_start"))
-            .withColumn("_before", F.coalesce(F.sum("_m").over(earlier), F.lit(0)))
-            .withColumn("_prior", F.max(F.col("_vmax") - F.col("_before") * F.col("_limit")).over(earlier))
-            .select(key, PIECE, "_before", "_prior", F.first("_start").over(earlier).alias("_opened"))
-        )
-        running = running.join(F.broadcast(summary), [key, PIECE], "left")
-    else:
-        none = F.lit(None).cast("long")
-        running = running.withColumns({"_before": none, "_prior": none, "_opened": none})
+    earlier = earlier_pieces(key)
+    carried = (
+        numbered.groupBy(key, PIECE)
+        .agg(F.sum("_new").alias("_m"), F.max("_v").alias("_vmax"), F.coalesce(F.max("limit_us"), F.lit(0)).alias("_limit"),
+             F.min_by("arrival_us", F.struct("_new", "arrival_us")).alias("_start"))
+        .withColumn("_before", F.sum("_m").over(earlier))
+        .withColumn("_prior", F.max(F.col("_vmax") - F.coalesce("_before", F.lit(0)) * F.col("_limit")).over(earlier))
+        .select(key, PIECE, "_before", "_prior", F.first("_start").over(earlier).alias("_opened"))
+        .where(F.col("_before").isNotNull())
+    )
+    running = with_carried(running, key, carried)
 
     before = F.coalesce("_before", F.lit(0))
     best = F.greatest(F.col("_run") - before * limit, F.col("_prior"))

@@ -1,9 +1,10 @@
-"""Windows over groups of any size.
+"""Windows over groups of any size, by one plan at every size.
 
-A window puts a whole group into one task, and adaptive execution splits only joins. A group
-with a large share of the rows (a host with a third of the links) is therefore cut along its
-order into pieces of about equal size; each piece is one window partition and short per-piece
-summaries carry the result across pieces.
+A window puts a whole group into one task, and adaptive execution splits only joins. Rows are therefore cut
+into ranges of (group, full order) with about the same number of rows each, whatever the groups: a host with
+a third of the links fills a third of the ranges, thousands of small hosts share one. A range of a group, a
+piece, is one window partition. Of the groups in a range only the first can have rows before it, so what
+earlier pieces carry into later ones (a count, a maximum) is at most one row for each range.
 """
 
 from __future__ import annotations
@@ -12,84 +13,50 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from crawlframe.session import checkpointed
 
-# A group counts as hot above 1/MAX_HOT of all rows, so there are fewer than MAX_HOT hot groups
-# and at most MAX_HOT * PIECES summary rows: what is broadcast below does not grow with the data.
-MAX_HOT = 1000
-PIECES = 64
-# Below this size one task sorts a group with ease.
-MIN_ROWS = 1_000_000
-
 PIECE = "_piece"
-BOUNDS = "_bounds"
 
 
-def hot_bounds(df: DataFrame, key: str, order: str, min_rows: int = MIN_ROWS, pieces: int = PIECES) -> DataFrame | None:
-    """(key, _bounds) of the hot groups, the bounds cutting ``order`` into pieces; None if no group is hot.
+def cut_in_pieces(df: DataFrame, key: str, order: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """Add ``_piece``, the number of the row's range of (key, order).
 
-    Runs at once, over the key column alone unless there are hot groups, and checkpoints its few
-    rows: the bounds are approximate quantiles, which a second evaluation could give differently.
-    """
-    sizes = df.groupBy(key).agg(F.count("*").alias("_n"))
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    hot = checkpointed(sizes.where(F.col("_n") > F.greatest(F.lit(min_rows), total / MAX_HOT)).select(key).coalesce(1))
-    if hot.isEmpty():
-        return None
-    cuts = [i / pieces for i in range(1, pieces)]
-    of_hot = df.join(F.broadcast(hot), key, "left_semi")
-    return checkpointed(of_hot.groupBy(key).agg(F.percentile_approx(order, cuts, 10000).alias(BOUNDS)).coalesce(1))
-
-
-def split_hot_groups(
-    df: DataFrame, key: str, order: str, min_rows: int = MIN_ROWS, pieces: int = PIECES
-) -> tuple[DataFrame, bool]:
-    """Add ``_piece``, and tell whether any group was cut.
-
-    The piece is 0 in a cold group and the rank of the row's stretch of ``order`` in a hot one;
-    rows of one value of ``order`` share a piece. ``_bounds`` is NULL in cold groups. ``df`` is read
-    for the group sizes and again for the result, so pass a stored table.
+    There are ``pieces`` ranges, as many as the session's shuffles have partitions if not given. ``order``
+    must tell the rows of a group apart, else rows alike share a piece. The result is checkpointed: range
+    bounds come from a sample, which a second evaluation could draw differently.
     """
-    bounds = hot_bounds(df, key, order, min_rows, pieces)
-    if bounds is None:
-        return df.withColumns({PIECE: F.lit(0), BOUNDS: F.lit(None).cast("array<long>")}), False
-    piece = F.size(F.filter(F.col(BOUNDS), lambda b: b < F.col(order)))
-    return df.join(F.broadcast(bounds), key, "left").withColumn(
-        PIECE, F.when(F.col(BOUNDS).isNull(), F.lit(0)).otherwise(piece)
-    ), True
+    n = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, key, *order)
+    return checkpointed(ranged.withColumn(PIECE, F.spark_partition_id()))
 
 
-def piece_window(key: str, *order: str | Column) -> Window:
+def piece_window(key: str, *order: str | Column) -> WindowSpec:
     return Window.partitionBy(key, PIECE).orderBy(*order)
 
 
-def earlier_pieces(key: str) -> Window:
-    """Over per-piece summaries of hot groups: the pieces before the current one."""
+def earlier_pieces(key: str) -> WindowSpec:
+    """Over a row per piece: the pieces of the group before the current one."""
     return Window.partitionBy(key).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def rank_in_group(
-    df: DataFrame,
-    key: str,
-    order: str,
-    alias: str,
-    ties: Sequence[str] = (),
-    min_rows: int = MIN_ROWS,
-    pieces: int = PIECES,
-) -> DataFrame:
+def with_carried(rows: DataFrame, key: str, carried: DataFrame) -> DataFrame:
+    """Rows with the columns of ``carried`` (key, _piece, ...), NULL where nothing is carried.
+
+    ``carried`` has the pieces that others of their group come before: one for each range at most, which
+    bounds what is broadcast by the number of ranges.
+    """
+    known = carried.withColumnsRenamed({key: "_of", PIECE: "_in"})
+    same = (rows[PIECE] == known["_in"]) & rows[key].eqNullSafe(known["_of"])
+    return rows.join(F.broadcast(known), same, "left").drop("_of", "_in")
+
+
+def rank_in_group(df: DataFrame, key: str, order: str, alias: str, ties: Sequence[str] = (), pieces: int | None = None) -> DataFrame:
     """Add the 1-based position of each row in its group by ``order``, then ``ties``."""
-    cut, any_hot = split_hot_groups(df, key, order, min_rows, pieces)
+    cut = cut_in_pieces(df, key, [order, *ties], pieces)
     ranked = cut.withColumn("_rank", F.row_number().over(piece_window(key, order, *ties)))
-    if any_hot:
-        before = (
-            cut.where(F.col(BOUNDS).isNotNull())
-            .groupBy(key, PIECE)
-            .agg(F.count("*").alias("_n"))
-            .select(key, PIECE, F.coalesce(F.sum("_n").over(earlier_pieces(key)), F.lit(0)).alias("_before"))
-        )
-        ranked = ranked.join(F.broadcast(before), [key, PIECE], "left")
-    else:
-        ranked = ranked.withColumn("_before", F.lit(0))
+    counts = cut.groupBy(key, PIECE).agg(F.count("*").alias("_n"))
+    before = counts.select(key, PIECE, F.sum("_n").over(earlier_pieces(key)).alias("_before")).where(F.col("_before").isNotNull())
     position = F.col("_rank") + F.coalesce(F.col("_before"), F.lit(0))
-    return ranked.select(*[F.col(c) for c in df.columns], position.cast("long").alias(alias))
+    return with_carried(ranked, key, before).select(*df.columns, position.cast("long").alias(alias))

@@ -515,6 +515,13 @@ def politeness_slots_first_waits(spark: SparkSession, sf: str) -> DataFrame:
     return frontier.politeness_slots(derived.requests(spark, sf), first_fetch_waits=True).select("host", "seq", "slot_us")
 
 
+@query("politeness_slots_few_hosts")
+def politeness_slots_few_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    """Slots of three hosts, each cut into many pieces."""
+    few = derived.requests(spark, sf).withColumns({"host": F.col("host") % 3, "limit_us": F.col("host") % 3 * 60_000_000})
+    return frontier.politeness_slots(few, pieces=61).select("host", "seq", "slot_us")
+
+
 @query("assign_ids")
 def assign_ids_query(spark: SparkSession, sf: str) -> DataFrame:
     hosts = _pages_with_domain(spark, sf).select("domain").distinct()

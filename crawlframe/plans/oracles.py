@@ -455,6 +455,9 @@ oracle("politeness_slots", _SLOTS, "SELECT host, seq, slot_us FROM fx_slots")
 oracle("stream_politeness", _SLOTS, "SELECT host, seq, slot_us FROM fx_slots")
 oracle("politeness_slots_first_waits", _SLOTS, """
 SELECT host, seq, greatest(slot_us, n * limit_us + min(arrival_us) OVER (PARTITION BY host)) AS slot_us FROM fx_slots""")
+oracle("politeness_slots_few_hosts", ["fx_requests"], """
+SELECT host, seq, n * limit_us + max(arrival_us - n * limit_us) OVER (PARTITION BY host ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS slot_us
+FROM (SELECT seq, host % 3 AS host, arrival_us, host % 3 * 60000000 AS limit_us, row_number() OVER (PARTITION BY host % 3 ORDER BY arrival_us, seq) AS n FROM fx_requests) t""")
 oracle("assign_ids", ["page_domains"], """
 SELECT row_number() OVER (ORDER BY md5(domain)) AS id, domain FROM (SELECT DISTINCT domain FROM page_domains) t""")
 oracle("fetch_batch", _MOMENT, """

@@ -37,28 +37,28 @@ def slots_by_rule(rows, last=None, first_waits=False):
 REQUESTS = "seq long, host long, arrival_us long, limit_us long"
 
 
-@pytest.mark.parametrize("min_rows", [50, 10**6])
+@pytest.mark.parametrize("pieces", [1, 8, 300])
 @pytest.mark.parametrize("first_waits", [False, True])
-def test_politeness_slots(spark, requests_rows, min_rows, first_waits):
+def test_politeness_slots(spark, requests_rows, pieces, first_waits):
     df = spark.createDataFrame(requests_rows, REQUESTS)
-    got = frontier.politeness_slots(df, first_fetch_waits=first_waits, min_rows=min_rows, pieces=8).collect()
+    got = frontier.politeness_slots(df, first_fetch_waits=first_waits, pieces=pieces).collect()
     assert {r.seq: r.slot_us for r in got} == slots_by_rule(requests_rows, first_waits=first_waits)[0]
 
 
-@pytest.mark.parametrize("min_rows", [50, 10**6])
+@pytest.mark.parametrize("pieces", [1, 8, 300])
 @pytest.mark.parametrize("first_waits", [False, True])
-def test_politeness_slots_go_on_from_last_slots(spark, requests_rows, min_rows, first_waits):
+def test_politeness_slots_go_on_from_last_slots(spark, requests_rows, pieces, first_waits):
     rows = sorted(requests_rows, key=lambda r: (r[2], r[0]))
     early, late = rows[:600], rows[600:]
     _, clock = slots_by_rule(early, first_waits=first_waits)
     last = spark.createDataFrame(list(clock.items()), "host long, last_slot_us long")
-    got = frontier.politeness_slots(spark.createDataFrame(late, REQUESTS), last, first_waits, min_rows, 8).collect()
+    got = frontier.politeness_slots(spark.createDataFrame(late, REQUESTS), last, first_waits, pieces).collect()
     assert {r.seq: r.slot_us for r in got} == slots_by_rule(late, clock, first_waits)[0]
     assert len(got) == len(late)
 
 
-@pytest.mark.parametrize("min_rows", [50, 10**6])
-def test_rank_in_group_with_a_hot_group(spark, min_rows):
+@pytest.mark.parametrize("pieces", [1, 8, 300])
+def test_rank_in_group_with_a_hot_group(spark, pieces):
     rng = random.Random(4)
     rows = [(rng.choice(["hot", "hot", f"h{rng.randint(0, 99)}"]), seq * 7 % 10_007, f"u{seq}") for seq in range(3000)]
     rows += [(None, 5, "n1"), (None, 6, "n2")]
@@ -67,19 +67,35 @@ def test_rank_in_group_with_a_hot_group(spark, min_rows):
     for host, _, url in sorted(rows, key=lambda r: r[1]):
         counts[host] = counts.get(host, 0) + 1
         want[url] = counts[host]
-    got = rank_in_group(df, "host", "seq", "position", min_rows=min_rows, pieces=16).collect()
+    got = rank_in_group(df, "host", "seq", "position", pieces=pieces).collect()
     assert len(got) == len(rows) and {r.url: r.position for r in got} == want
 
 
-def test_hot_group_is_cut_into_pieces(spark):
-    from crawlframe.operators.skew import PIECE, split_hot_groups
+def test_a_hot_group_fills_many_pieces(spark):
+    from crawlframe.operators.skew import PIECE, cut_in_pieces
 
     df = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("host"),
-                                    F.col("id").alias("seq"))
-    cut, any_hot = split_hot_groups(df, "host", "seq", min_rows=100, pieces=16)
-    assert any_hot and not split_hot_groups(df, "host", "seq")[1]
-    sizes = cut.where("host = 'hot'").groupBy(PIECE).count().collect()
-    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 2 * 3334 / 16
+                                    F.lit(7).alias("arrival_us"), F.col("id").alias("seq"))
+    cut = cut_in_pieces(df, "host", ["arrival_us", "seq"], 16)
+    of_hot = cut.where("host = 'hot'").groupBy(PIECE).count().collect()
+    assert len(of_hot) >= 5 and max(r["count"] for r in cut.groupBy(PIECE).count().collect()) < 2 * 10_000 / 16
+    # Others of its group come before a piece of the first group of a range only.
+    carried = cut.groupBy("host", PIECE).count().groupBy("host").agg(F.min(PIECE).alias("low"), F.max(PIECE).alias("high"))
+    assert carried.where("high > low").count() <= 15
+
+
+def test_equal_arrivals_are_cut_by_seq(spark):
+    rows = [(seq, 1, 5, 10) for seq in range(500)] + [(seq, 2, 7, None) for seq in range(500, 520)]
+    got = frontier.politeness_slots(spark.createDataFrame(rows, REQUESTS), pieces=12).collect()
+    assert {r.seq: r.slot_us for r in got} == {s: 5 + 10 * s if h == 1 else 7 for s, h, _, _ in rows}
+
+
+def test_the_plan_is_the_same_at_every_size(spark, requests_rows):
+    def shape(rows):
+        plan = frontier.frontier_positions(spark.createDataFrame(rows, REQUESTS), pieces=8)._jdf.queryExecution().sparkPlan().toString()
+        return [line.strip(" :+-").split(" ")[0].split("(")[0] for line in plan.splitlines()]
+
+    assert shape(requests_rows) == shape(requests_rows[:3])
 
 
 def test_assign_ids(spark):
