@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import zlib
+from collections.abc import Callable, Sequence
 from functools import cache
 from pathlib import Path
 
@@ -43,6 +44,31 @@ def public_suffixes() -> tuple[str, ...]:
     return read_public_suffixes(PUBLIC_SUFFIXES.read_text("utf-8"))
 
 
+def _rule_marks(suffixes: Sequence[str]) -> Callable[[Column], Column]:
+    """The rules that name a text: ``p`` for the plain one, ``w`` for ``*.text``, ``e`` for ``!text``, else ``-``, in this order.
+
+    All rules are one literal, dealt into slots by the CRC-32 of their text: a probe looks at one slot, which
+    has one rule or two. A literal for each rule would have to be built and sent to the plan one by one.
+    """
+    marks: dict[str, list[str]] = {}
+    for rule in suffixes:
+        kind = 1 if rule.startswith("*.") else 2 if rule.startswith("!") else 0
+        marks.setdefault(rule[(0, 2, 1)[kind]:], ["-", "-", "-"])[kind] = "pwe"[kind]
+    size = 1 << max(1, len(marks)).bit_length()
+    slots = [""] * size
+    for text, kinds in marks.items():
+        slots[zlib.crc32(text.encode()) % size] += f"\n{text} {''.join(kinds)}"
+    # Split once, when the plan's constants are folded. A form feed stands between slots.
+    table = F.split(F.lit("\f".join(slots)), "\f", -1)
+
+    def found(text: Column) -> Column:
+        slot = F.get(table, (F.crc32(text.cast("binary")) % size).cast("int"))
+        mark = F.concat(F.lit("\n"), text, F.lit(" "))
+        return F.when(slot.contains(mark), F.substring(F.call_function("substring_index", slot, mark, F.lit(-1)), 1, 3)).otherwise(F.lit("---"))
+
+    return lambda text: bind(text, found)
+
+
 def host_name(url: Column) -> Column:
     """Host of a URL or of bare text, in lower case, without user, port and trailing dot."""
     authority = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://)?([^/?#]*)", 1)
@@ -54,8 +80,7 @@ def registered_domain(host: Column, suffixes: Sequence[str] | None = None) -> Co
     """Struct (subdomain, domain, suffix) of a host.
 
     A host under no listed suffix gets an empty suffix and its last label as domain; an IPv4
-    address is its own domain. Without ``suffixes`` the rules are those of the public-suffix list, which
-    become a hash set in the plan.
+    address is its own domain. Without ``suffixes`` the rules are those of the public-suffix list.
     """
     suffixes = public_suffixes() if suffixes is None else suffixes
     # Bound once: inside the lambdas below host and labels would be derived anew for every label.
@@ -63,32 +88,32 @@ def registered_domain(host: Column, suffixes: Sequence[str] | None = None) -> Co
 
 
 def _registered(host: Column, labels: Column, suffixes: Sequence[str]) -> Column:
-    plain = [s for s in suffixes if not s.startswith(("*.", "!"))]
-    wild = [s[2:] for s in suffixes if s.startswith("*.")]
-    excepted = [s[1:] for s in suffixes if s.startswith("!")]
-
     n = F.size(labels)
-    # Position of the first suffix label, for every suffix of the host that a rule names.
-    starts = F.sequence(F.lit(1), n)
+    marks = _rule_marks(suffixes)
 
     def tail(i: Column) -> Column:
         return F.array_join(F.slice(labels, i, n), ".")
 
-    def listed(i: Column) -> Column:
-        hit = tail(i).isin(plain)
-        if wild:
-            hit = hit | ((i < n) & tail(i + 1).isin(wild) & ~tail(i).isin(excepted or [""]))
-        if excepted:
-            hit = hit | ((i > 1) & tail(i - 1).isin(excepted))
-        return hit
-
-    hits = F.filter(starts, listed)
-    if excepted:
-        # An exception rule beats any longer match: the suffix starts right after it.
-        broken = F.filter(starts, lambda i: (i > 1) & tail(i - 1).isin(excepted))
-        hits = F.when(F.size(broken) > 0, broken).otherwise(hits)
+    # The rules of every suffix of the host, one probe each.
+    named = F.transform(F.sequence(F.lit(1), n), lambda i: marks(tail(i)))
+    return bind(named, lambda kinds: _parts(host, labels, n, kinds, tail))
+
+
+def _parts(host: Column, labels: Column, n: Column, kinds: Column, tail: Callable[[Column], Column]) -> Column:
+    def has(at: Column, mark: str) -> Column:
+        return F.coalesce(F.get(kinds, at).contains(mark), F.lit(False))
+
+    def listed(kind: Column, at: Column) -> Column:
+        return kind.startswith("p") | (has(at + 1, "w") & ~kind.endswith("e"))
+
+    # Position of the first suffix label, for every suffix of the host that a rule names, from 0.
+    places = F.sequence(F.lit(0), n - 1)
+    hits = F.filter(places, lambda at: listed(F.get(kinds, at), at))
+    # An exception rule beats any longer match: the suffix starts right after it.
+    broken = F.filter(places, lambda at: (at > 0) & has(at - 1, "e"))
+    hits = F.when(F.size(broken) > 0, broken).otherwise(hits)
     is_ip = host.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}\z")
-    start = F.when(is_ip, F.lit(0)).otherwise(F.coalesce(F.array_min(hits), n + 1))
+    start = F.when(is_ip, F.lit(0)).otherwise(F.coalesce(F.array_min(hits) + 1, n + 1))
 
     def parts(at: Column) -> Column:
         return F.struct(

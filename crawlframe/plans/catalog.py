@@ -136,6 +136,23 @@ def store_batches(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("store_batch_images")
+def store_batch_images(spark: SparkSession, sf: str) -> DataFrame:
+    """The images that two batches of pages store, the second given twice, with the page's URL."""
+    fetches = checkpointed(derived.marked_fetches(spark, sf))
+    half = fetches.agg(F.floor(F.max("seq") / 2)).first()[0]
+    root, fetched = run_dir(spark, "store"), derived.resources(spark, sf)
+    page_plans.store_batch(fetches.where(F.col("seq") <= half), root, 0, resources=fetched)
+    for _ in range(2):
+        page_plans.store_batch(fetches.where(F.col("seq") > half), root, 1, resources=fetched)
+    pages, images = (sinks.stored_before(spark, f"{root}/{n}", kind, 2) for n, kind in (("page", schema.PAGE), ("image", schema.IMAGE)))
+    repeated = store.unique_violations([("pk_image_id", images, ["id"])]).select(F.col("key").cast("long").alias("id"), F.col("n_rows"))
+    return (
+        images.join(pages.select(F.col("id").alias("page_id"), "url"), "page_id", "left").join(repeated, "id", "left")
+        .select("url", "filename", "content_type", F.md5("data").alias("data_md5"), F.unix_seconds("accessed_time").alias("accessed_s"), "n_rows")
+    )
+
+
 @query("write_page_data")
 def write_page_data(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "page_data")
@@ -600,6 +617,19 @@ def registered_domain(spark: SparkSession, sf: str) -> DataFrame:
     ).select("page_id", "host", "d.*")
 
 
+@query("registered_domain_listed")
+def registered_domain_listed(spark: SparkSession, sf: str) -> DataFrame:
+    """Registered domains by the whole public-suffix list."""
+    return derived.listed_hosts(spark, sf).select("page_id", "host", domains.registered_domain(F.col("host")).alias("d")).select("page_id", "host", "d.*")
+
+
+@query("filter_registered_domain_listed")
+def filter_registered_domain_listed(spark: SparkSession, sf: str) -> DataFrame:
+    urls_of = derived.listed_hosts(spark, sf).select("page_id", F.concat(F.lit("https://"), "host", F.lit("/x")).alias("url"))
+    kept = [("example", "com"), ("w8", "io"), ("b8", "com.au"), ("www", "ck"), ("city", "kawasaki.jp")]
+    return filters.filter_registered_domain(urls_of, "url", kept)
+
+
 @query("extract_links")
 def extract_links_query(spark: SparkSession, sf: str) -> DataFrame:
     return derived.marked_pages(spark, sf).select("page_id", F.posexplode(extract_links(F.col("html"))).alias("pos", "href"))

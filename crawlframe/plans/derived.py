@@ -208,3 +208,34 @@ def sitemap_bodies(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit(10).alias("pos"), _cat("<url>", F.col("id").cast("string"), "</url>").alias("body")),
     )
     return sites(spark, sf).select("domain", F.inline(parts))
+
+
+def listed_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    """(page_id, host): hosts of the pages, and hosts under nine kinds of public suffixes, some of no rule, a wildcard or an exception."""
+    kinds = F.array(*[F.lit(x) for x in ("co.uk", "foo.ck", "www.ck", "city.kawasaki.jp", "x.kawasaki.jp", "io", "unlisted", "com.au", "ck")])
+    page = F.col("page_id")
+    own = F.substr(_host(F.col("url")), F.lit(8))
+    made = [F.concat(F.lit(front), page.cast("string"), F.lit("."), F.get(kinds, (page % 9).cast("int"))) for front in ("a.b", "w")]
+    return pages(spark, sf).select("page_id", F.explode(F.array(own, *made, F.get(kinds, (page % 9).cast("int")))).alias("host"))
+
+
+def marked_fetches(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages with images as fetches, in order of ``seq``."""
+    return marked_pages(spark, sf).select(
+        F.col("page_id").alias("seq"), "url", F.lit(None).cast("string").alias("parent_url"), "html", F.lit("text/html").alias("content_type"),
+        F.lit(200).alias("status"), (F.lit(1704067200) + F.lit(60) * F.col("page_id")).alias("accessed_s"),
+    )
+
+
+def resources(spark: SparkSession, sf: str) -> DataFrame:
+    """(url, content_type, content, accessed_s): images fetched for every other page, and one image of each host, some of an unknown type."""
+    page = F.col("page_id")
+    own = pages(spark, sf).where(page % 2 == 0).select(
+        _cat(_host(F.col("url")), "/i/", page.cast("string"), ".png").alias("url"), F.lit("image/png").alias("content_type"),
+        _cat("image ", page.cast("string")).alias("content"), (F.lit(1800000000) + page).alias("accessed_s"),
+    )
+    shared = pages(spark, sf).select(_host(F.col("url")).alias("host")).distinct().select(
+        _cat(F.col("host"), "/i/q.gif").alias("url"), F.when(F.col("host").endswith("net"), "text/html").otherwise("image/gif").alias("content_type"),
+        F.col("host").alias("content"), F.lit(1900000000).cast("long").alias("accessed_s"),
+    )
+    return own.unionByName(shared)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from crawlframe.functions.domains import public_suffixes
+
 # Named parts. A query lists the ones it needs; parts may use parts listed before them.
 PARTS: dict[str, str] = {}
 
@@ -256,6 +258,19 @@ SELECT page_id, host, suffix, regexp_extract(rest, '[^.]*$') AS domain,
   CASE WHEN contains(rest, '.') THEN regexp_replace(rest, '\.[^.]*$', '') ELSE '' END AS subdomain
 FROM (SELECT *, substr(host, 1, length(host) - length(suffix) - 1) AS rest FROM labels_of) t"""
 
+PARTS["rules"] = "SELECT unnest([" + ", ".join("'" + rule + "'" for rule in public_suffixes()) + "]) AS rule"
+
+PARTS["listed"] = r"""
+WITH p AS (SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS own, ['co.uk', 'foo.ck', 'www.ck', 'city.kawasaki.jp', 'x.kawasaki.jp', 'io', 'unlisted', 'com.au', 'ck'][page_id % 9 + 1] AS s FROM pages),
+h AS (SELECT page_id, unnest([lower(own), 'a.b' || page_id || '.' || s, 'w' || page_id || '.' || s, s]) AS host FROM p),
+l AS (SELECT *, string_split(host, '.') AS w FROM (SELECT DISTINCT host FROM h) d),
+t AS (SELECT host, len(w) AS n, k, array_to_string(w[k:], '.') AS tail, array_to_string(w[k + 1:], '.') AS rest FROM (SELECT *, unnest(range(1, len(w) + 1)) AS k FROM l) x),
+m AS (SELECT host, any_value(n) AS n, min(k + 1) FILTER ('!' || tail IN (FROM rules)) AS e,
+    min(k) FILTER (tail IN (FROM rules) OR (k < n AND '*.' || rest IN (FROM rules) AND '!' || tail NOT IN (FROM rules))) AS a FROM t GROUP BY host),
+s AS (SELECT l.host, l.w, coalesce(e, a, n + 1) AS st FROM m JOIN l USING (host))
+SELECT page_id, host, CASE WHEN st > 2 THEN array_to_string(w[:st - 2], '.') ELSE '' END AS subdomain, CASE WHEN st > 1 THEN coalesce(w[st - 1], '') ELSE '' END AS domain, array_to_string(w[st:], '.') AS suffix
+FROM h JOIN s USING (host)"""
+
 PARTS["new_links"] = r"""
 SELECT url, seq, pos, parent_url, regexp_extract(url, '^http://[^/?#]*') AS host FROM (
   SELECT u.url, u.seq, u.pos, u.parent_url, row_number() OVER (PARTITION BY u.url ORDER BY u.seq, u.pos) AS k FROM (
@@ -481,6 +496,19 @@ SELECT page_id, regexp_extract(url, '^[a-z]+') AS scheme, regexp_extract(url, '/
 FROM pages""")
 oracle("url_basename", [], "SELECT page_id, regexp_extract(url, '[^/]*$') AS basename FROM pages")
 oracle("registered_domain", ["labels_of", "reg"], "SELECT page_id, host, subdomain, domain, suffix FROM reg")
+oracle("store_batch_images", ["canon"], """
+SELECT url, filename, content_type, md5(data) AS data_md5, accessed_s, CAST(NULL AS BIGINT) AS n_rows FROM (
+  SELECT v.canonical AS url, unnest(CASE v.page_id % 3
+    WHEN 0 THEN [struct_pack(filename := v.page_id || '.png', content_type := '.png', data := 'image ' || v.page_id, accessed_s := 1800000000 + v.page_id, ok := v.page_id % 2 = 0),
+      struct_pack(filename := '', content_type := '.gif', data := 'data:image/gif;base64,R0', accessed_s := 1704067200 + 60 * v.page_id, ok := true)]
+    WHEN 2 THEN [struct_pack(filename := 'q.gif', content_type := '.gif', data := regexp_extract(v.canonical, '^http://[^/?#]*'), accessed_s := CAST(1900000000 AS BIGINT), ok := NOT regexp_matches(v.canonical, '^http://[^/?#]*net([/?#]|$)'))]
+    ELSE [] END, recursive := true)
+  FROM (SELECT p.page_id, c.canonical, row_number() OVER (PARTITION BY c.canonical ORDER BY p.page_id) AS k FROM pages p JOIN canon c ON c.raw = p.url) v WHERE k = 1) t
+WHERE ok""")
+oracle("registered_domain_listed", ["rules", "listed"], "SELECT * FROM listed")
+oracle("filter_registered_domain_listed", ["rules", "listed"], """
+SELECT page_id, 'https://' || host || '/x' AS url FROM listed
+WHERE (domain, suffix) IN (('example', 'com'), ('w8', 'io'), ('b8', 'com.au'), ('www', 'ck'), ('city', 'kawasaki.jp'))""")
 oracle("extract_links", ["fx_html", "h_clean", "h_links"], "SELECT page_id, pos, href FROM h_links")
 oracle("extract_images", ["fx_html", "h_clean", "h_images"], "SELECT page_id, pos, src FROM h_images")
 oracle("mime_extension", ["n_pages", "fx_fetches", "typed"], """

@@ -72,8 +72,7 @@ class KeyedView:
         return sum(r.rows for r in self.runs)
 
     def frames(self) -> list[DataFrame]:
-        t = self.table
-        return [read_bucketed(t.spark, f"{t.root}/runs/{r.run}", t.schema, t.keys, r.buckets) for r in self.runs]
+        return [self.table.frame(r) for r in self.runs]
 
     def plain(self) -> list[DataFrame]:
         """The runs without their buckets. Spark 4.1 takes a union of bucketed scans for one bucketed table but then
@@ -91,6 +90,23 @@ class KeyedView:
             df = df.join(known, list(names.values()), "left_anti")
         return df
 
+    def lookup(self, df: DataFrame, on: str, value: str, alias: str) -> DataFrame:
+        """``df`` with the table's ``value`` for the key in its column ``on`` as ``alias``, NULL if the table has none.
+
+        For tables of one key column whose keys are written once; the runs are not shuffled.
+        """
+        found = []
+        for i, run in enumerate(self.frames()):
+            found.append(f"_found{i}")
+            df = df.join(run.select(F.col(self.table.keys[0]).alias(on), F.col(value).alias(found[-1])), on, "left")
+        kind = self.table.schema[value].dataType
+        return df.withColumn(alias, F.coalesce(*[F.col(c) for c in found]) if found else F.lit(None).cast(kind)).drop(*found)
+
+    def union(self) -> DataFrame:
+        """The rows of all runs as they were written."""
+        frames = self.plain()
+        return reduce(DataFrame.unionByName, frames) if frames else self.table.spark.createDataFrame([], self.table.schema)
+
     def matching(self, df: DataFrame) -> DataFrame:
         """Rows of the table whose key ``df`` has, one for each key; the runs are not shuffled."""
         t = self.table
@@ -104,8 +120,7 @@ class KeyedView:
         return t.folded(rows)
 
     def all(self) -> DataFrame:
-        frames = self.plain()
-        return self.table.folded(reduce(DataFrame.unionByName, frames)) if frames else self.table.spark.createDataFrame([], self.table.schema)
+        return self.table.folded(self.union())
 
 
 class KeyedTable:
@@ -115,6 +130,12 @@ class KeyedTable:
         self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], fold: Callable[[str], Column] = F.max, fan: int = FAN
     ) -> None:
         self.spark, self.root, self.schema, self.keys, self.fold, self.fan = spark, root, schema, list(keys), fold, fan
+        self._read: dict[Run, DataFrame] = {}
+
+    def frame(self, run: Run) -> DataFrame:
+        if run not in self._read:
+            self._read[run] = read_bucketed(self.spark, f"{self.root}/runs/{run.run}", self.schema, self.keys, run.buckets)
+        return self._read[run]
 
     @property
     def values(self) -> list[str]:
@@ -168,28 +189,27 @@ class KeyedTable:
         return KeyedView(self, known[max(known)] if known else [])
 
     def add(self, rows: DataFrame, batch_id: int) -> None:
-        """Add the rows of a batch. Given a key that is there already, both rows count until they are folded."""
+        """Add the rows of a batch, evaluated once. Given a key that is there already, both rows count until they are folded."""
         versions = self._versions()
-        earlier = [b for b in versions if b < batch_id]
-        runs = list(versions[max(earlier)]) if earlier else []
-        n = rows.count()
-        if n:
-            # Runs of full levels go into the new one: like a carry when counting.
-            level, merged = 0, []
-            while len(full := [r for r in runs if r.level == level]) + 1 >= self.fan:
-                merged += full
-                level += 1
-            kept = [r for r in runs if r not in merged]
-            buckets = runs[0].buckets if runs else buckets_of(self.spark)
-            new = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-            if merged:
-                new = self.folded(reduce(DataFrame.unionByName, [new, *KeyedView(self, merged).plain()]))
-            name = f"batch={batch_id}"
-            write_bucketed(new.repartition(buckets, *self.keys), f"{self.root}/runs/{name}", self.keys, buckets)
-            size = read_bucketed(self.spark, f"{self.root}/runs/{name}", self.schema, self.keys, buckets).count() if merged else n
-            runs = [*kept, Run(name, level, size, buckets)]
+        earlier = {b: runs for b, runs in versions.items() if b < batch_id}
+        runs = list(earlier[max(earlier)]) if earlier else []
+        # Runs of full levels go into the new one: like a carry when counting.
+        level, merged = 0, []
+        while len(full := [r for r in runs if r.level == level]) + 1 >= self.fan:
+            merged += full
+            level += 1
+        buckets = runs[0].buckets if runs else buckets_of(self.spark)
+        new = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        if merged:
+            new = self.folded(reduce(DataFrame.unionByName, [new, *KeyedView(self, merged).plain()]))
+        name = f"batch={batch_id}"
+        self._read = {run: frame for run, frame in self._read.items() if run.run != name}
+        write_bucketed(new.repartition(buckets, *self.keys), f"{self.root}/runs/{name}", self.keys, buckets)
+        size = self.spark.read.schema(self.schema).parquet(f"{self.root}/runs/{name}").count()
+        if size:
+            runs = [*(r for r in runs if r not in merged), Run(name, level, size, buckets)]
         self._list(batch_id, runs)
-        self._drop_unused({b: r for b, r in versions.items() if b < batch_id}, runs)
+        self._drop_unused(earlier, runs)
 
     def _drop_unused(self, earlier: dict[int, list[Run]], runs: Sequence[Run]) -> None:
         """Delete versions before the one that this batch read, and the runs that only they list."""

@@ -12,6 +12,7 @@ from crawlframe.functions.urls import url_basename, url_domain
 from crawlframe.operators.filters import filter_empty_refs, filter_image_sources, filter_image_types
 from crawlframe.operators.frontier import frontier_positions
 from crawlframe.operators.ids import assign_ids
+from crawlframe.sources.keyed import KeyedTable
 
 QUEUE = T.StructType(schema.FRONTIER.fields + [T.StructField("seq", T.LongType(), True), T.StructField("pos", T.IntegerType(), True)])
 
@@ -35,12 +36,12 @@ def write_pages(pages: DataFrame, path: str, batch_id: int | None = None) -> Non
     write_rows(conform(pages, schema.PAGE), path, batch_id, "page_type_code")
 
 
-def stored_before(spark: SparkSession, path: str, table: T.StructType, batch_id: int) -> DataFrame:
-    """Rows that batches before ``batch_id`` wrote below ``path``; the filter prunes directories."""
+def stored_before(spark: SparkSession, path: str, table: T.StructType, batch_id: int, since: int = 0) -> DataFrame:
+    """Rows that batches from ``since`` on and before ``batch_id`` wrote below ``path``; the filter prunes directories."""
     if batch_id == 0:
         return spark.createDataFrame([], table)
     full = T.StructType(table.fields + [T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).parquet(path).where(F.col("batch_id") < batch_id).drop("batch_id")
+    return spark.read.schema(full).parquet(path).where(F.col("batch_id").between(since, batch_id - 1)).drop("batch_id")
 
 
 def page_data_rows(documents: DataFrame) -> DataFrame:
@@ -52,8 +53,18 @@ def write_page_data(documents: DataFrame, path: str, batch_id: int | None = None
     write_rows(page_data_rows(documents), path, batch_id)
 
 
-def image_rows(images: DataFrame) -> DataFrame:
-    """Images of the known types, numbered, with the base name of their source as file name.
+def store_index(spark: SparkSession, root: str) -> dict[str, KeyedTable]:
+    """What batches look up in the store below ``root``: URLs, contents, hosts and the last id of each table."""
+
+    def table(name: str, key: str, value: str | None = None) -> KeyedTable:
+        fields = [T.StructField(key, T.StringType())] + ([T.StructField(value, T.LongType())] if value else [])
+        return KeyedTable(spark, f"{root}/index/{name}", T.StructType(fields), [key])
+
+    return {"url": table("url", "url", "id"), "content": table("content", "html_hash"), "site": table("site", "domain", "id"), "last": table("last", "name", "id")}
+
+
+def image_rows(images: DataFrame, start: int = 1) -> DataFrame:
+    """Images of the known types, numbered from ``start``, with the base name of their source as file name.
 
     ``images`` has (page_id, pos, src, content_type) and optionally content and accessed_time. A
     ``data:`` URI has no file name and is its own content; its type stands in its text.
@@ -70,11 +81,25 @@ def image_rows(images: DataFrame) -> DataFrame:
         "data": content_bytes(F.when(is_data, F.col("src")).otherwise(content)),
     })
     # Keys alone are numbered; contents meet their ids in a join.
-    return rows.join(assign_ids(rows.select("_key"), "_key"), "_key").select("id", *[c for c in rows.columns])
+    return rows.join(assign_ids(rows.select("_key"), "_key", start=start), "_key").select("id", *[c for c in rows.columns])
+
+
+def write_images(images: DataFrame, path: str, batch_id: int | None = None, start: int | None = None) -> None:
+    """Store images. Ids go on from ``start``, or else from the highest that ``path`` has, or that its earlier batches have."""
+    if start is None:
+        start = last_id(images.sparkSession, path, batch_id) + 1
+    write_rows(conform(image_rows(images, start), schema.IMAGE), path, batch_id)
 
 
-def write_images(images: DataFrame, path: str, batch_id: int | None = None) -> None:
-    write_rows(conform(image_rows(images), schema.IMAGE), path, batch_id)
+def last_id(spark: SparkSession, path: str, batch_id: int | None) -> int:
+    """Highest id below ``path``, of the batches before ``batch_id`` if given; 0 if there is none."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top):
+        return 0
+    rows = spark.read.schema("id long, batch_id long").parquet(path)
+    if batch_id is not None:
+        rows = rows.where(F.col("batch_id") < batch_id)
+    return rows.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
 
 
 def write_links(edges: DataFrame, path: str, batch_id: int | None = None) -> None:

@@ -41,3 +41,28 @@ def test_hashes_are_found_without_moving_texts(spark, sf):
     plan = physical(content_firsts(derived.fetches(spark, sf).select("seq", "html", "accessed_s").repartition(3)))
     last_shuffle = plan.split("Exchange")[1]
     assert "html#" not in last_shuffle.split("\n")[0]
+
+
+def test_a_level_of_the_crawl_has_one_shuffle(spark, tmp_path):
+    """Edges and visited pages stay where they are; only the links to a page come together."""
+    from pyspark.sql import types as T
+
+    from crawlframe.plans.crawl import next_level
+    from crawlframe.sources.keyed import KeyedTable, read_bucketed, write_bucketed
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = T.LongType()
+    edges = spark.range(200).selectExpr("id as src", "id * 7 % 200 as dst")
+    write_bucketed(edges, f"{tmp_path}/edges", ["src"], n)
+    edges = read_bucketed(spark, f"{tmp_path}/edges", T.StructType([T.StructField("src", ids), T.StructField("dst", ids)]), ["src"], n)
+    pages = T.StructType([T.StructField("page", ids), T.StructField("parent", ids), T.StructField("depth", T.IntegerType())])
+    visited = KeyedTable(spark, f"{tmp_path}/visited", pages, ["page"])
+    for depth in range(3):
+        visited.add(spark.range(depth, depth + 1).selectExpr("id + 1 as page", "id as parent", f"{depth} as depth"), depth)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(next_level(edges, visited.before(3), 3))
+        assert len(re.findall(r"\bExchange\b", plan)) == 1 and plan.count("SortMergeJoin") == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

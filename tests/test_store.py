@@ -138,3 +138,33 @@ def test_links_of_one_page_keep_their_order(spark, tmp_path):
     loaded = store.load_frontier(spark, root)
     assert [r.url[-1] for r in loaded.orderBy("position").collect()] == list("5391")
     assert frontier_heads(queue.orderBy("url"), ["pos"]).first().url == "http://a.si/5"
+
+
+def test_images_of_batches(spark, tmp_path):
+    """Ids go on over batches, a batch that runs twice included; of a source the first fetch counts; unknown types and sources give nothing."""
+    root = str(tmp_path / "store")
+    pages = [
+        _fetch(1, "http://a.si/", '<img src="/x.png"><img src="data:image/gif;base64,R0"><img src="/none.png">'),
+        _fetch(2, "http://b.si/d.pdf", '<img src="/x.png">', kind="application/pdf"),
+        _fetch(3, "http://a.si/2", '<img src="x.png"><img src="/t.html"><img src="http://x.cms.si/x.png">'),
+        _fetch(4, "http://a.si/2", '<img src="/x.png">'),
+    ]
+    fetched = [("https://a.si/x.png", "image/png", "late", 9), ("http://a.si/x.png", "image/png", "early", 5), ("http://a.si/t.html", "text/html", "t", 5), (None, "image/png", "n", 1)]
+    resources = spark.createDataFrame(fetched, "url string, content_type string, content string, accessed_s long")
+    for batch, rows in ((0, pages[:2]), (1, pages[2:]), (1, pages[2:]), (2, [])):
+        store_batch(spark.createDataFrame(rows, FETCHES), root, batch, resources=resources)
+    urls = {r.id: r.url for r in store.stored_before(spark, f"{root}/page", schema.PAGE, 3).collect()}
+    images = store.stored_before(spark, f"{root}/image", schema.IMAGE, 3).collect()
+    assert sorted((urls[r.page_id], r.filename, r.content_type, bytes(r.data), int(r.accessed_time.timestamp())) for r in images) == [
+        ("http://a.si/", "", ".gif", b"data:image/gif;base64,R0", 1001), ("http://a.si/", "x.png", ".png", b"early", 5), ("http://a.si/2", "x.png", ".png", b"early", 5)]
+    assert sorted(r.id for r in images) == [1, 2, 3]
+
+
+def test_written_images_go_on_from_the_highest_id(spark, tmp_path):
+    images = spark.createDataFrame([(1, 0, "http://a.si/1.png", "image/png"), (1, 1, "http://a.si/2.png", "image/png")], "page_id long, pos int, src string, content_type string")
+    for batch in (0, 1, 1):
+        store.write_images(images, str(tmp_path / "i"), batch)
+    assert sorted(r.id for r in spark.read.schema("id long").parquet(str(tmp_path / "i")).collect()) == [1, 2, 3, 4]
+    for _ in range(2):
+        store.write_images(images, str(tmp_path / "j"))
+    assert sorted(r.id for r in spark.read.schema("id long").parquet(str(tmp_path / "j")).collect()) == [1, 2, 3, 4]
