@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Callable, Sequence
 from functools import cache
 from pathlib import Path
@@ -12,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from crawlframe.functions.bind import bind
+from crawlframe.functions.tables import literal_table
 
 #: The list of publicsuffix.org as Debian ships it, used when the caller gives no other.
 PUBLIC_SUFFIXES = Path(__file__).parent / "public_suffix_list.dat"
@@ -45,28 +45,13 @@ def public_suffixes() -> tuple[str, ...]:
 
 
 def _rule_marks(suffixes: Sequence[str]) -> Callable[[Column], Column]:
-    """The rules that name a text: ``p`` for the plain one, ``w`` for ``*.text``, ``e`` for ``!text``, else ``-``, in this order.
-
-    All rules are one literal, dealt into slots by the CRC-32 of their text: a probe looks at one slot, which
-    has one rule or two. A literal for each rule would have to be built and sent to the plan one by one.
-    """
+    """The rules that name a text: ``p`` for the plain one, ``w`` for ``*.text``, ``e`` for ``!text``, else ``-``, in this order."""
     marks: dict[str, list[str]] = {}
     for rule in suffixes:
         kind = 1 if rule.startswith("*.") else 2 if rule.startswith("!") else 0
         marks.setdefault(rule[(0, 2, 1)[kind]:], ["-", "-", "-"])[kind] = "pwe"[kind]
-    size = 1 << max(1, len(marks)).bit_length()
-    slots = [""] * size
-    for text, kinds in marks.items():
-        slots[zlib.crc32(text.encode()) % size] += f"\n{text} {''.join(kinds)}"
-    # Split once, when the plan's constants are folded. A form feed stands between slots.
-    table = F.split(F.lit("\f".join(slots)), "\f", -1)
-
-    def found(text: Column) -> Column:
-        slot = F.get(table, (F.crc32(text.cast("binary")) % size).cast("int"))
-        mark = F.concat(F.lit("\n"), text, F.lit(" "))
-        return F.when(slot.contains(mark), F.substring(F.call_function("substring_index", slot, mark, F.lit(-1)), 1, 3)).otherwise(F.lit("---"))
-
-    return lambda text: bind(text, found)
+    named = literal_table({text: "".join(kinds) for text, kinds in marks.items()})
+    return lambda text: F.coalesce(named(text), F.lit("---"))
 
 
 def host_name(url: Column) -> Column:

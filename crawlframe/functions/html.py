@@ -8,10 +8,20 @@ such attribute of a tag counts.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlframe.functions.bind import bind
+from crawlframe.functions.tables import literal_table
+
 _SKIPPED = "|".join([r"!--.*?(?:-->|\z)", *[rf"{tag}\b.*?(?:</{tag}|\z)" for tag in ("script", "style", "textarea", "title")]])
+#: Named references, most with their semicolon, from the standard library's table.
+_NAMED = literal_table(html5)
+# Characters 128 to 159, and what numbers of this range mean, where Windows-1252 has them.
+_KNOWN = {n: bytes([n]).decode("cp1252", "ignore") for n in range(128, 160)}
+_C1, _WINDOWS = ("".join(t) for t in zip(*[(chr(n), c) for n, c in _KNOWN.items() if c], strict=True))
 _VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 
 
@@ -25,14 +35,43 @@ LINK_PATTERN = _attribute_pattern("a", "href")
 IMAGE_PATTERN = _attribute_pattern("img|image", "src")
 
 
+def _code_point(number: Column) -> Column:
+    """The character of a numeric reference; what is none is U+FFFD, and 128 to 159 mean the characters of Windows-1252."""
+    bad = number.isNull() | (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    held = F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(number)), 8, "0")
+    return F.translate(F.decode(F.unhex(held), "UTF-32"), _C1, _WINDOWS)
+
+
+def _reference(rest: Column) -> Column:
+    """What stands for an ampersand and the text up to the next one."""
+    decimal = F.regexp_extract(rest, "^#0*+([0-9]++)", 1)
+    hexadecimal = F.regexp_extract(rest, "^#[xX]0*+([0-9A-Fa-f]++)", 1)
+    # Zero is the number whose digits all went with the leading ones.
+    number = (
+        F.when(rest.rlike("^#0++(?![0-9])|^#[xX]0++(?![0-9A-Fa-f])"), F.lit(0))
+        .when(F.length(decimal).between(1, 7), decimal.try_cast("int"))
+        .when(F.length(hexadecimal).between(1, 6), F.conv(F.when(F.length(hexadecimal) <= 6, hexadecimal), 16, 10).try_cast("int"))
+    )
+    after_number = F.regexp_replace(rest, "^#(?:[xX][0-9A-Fa-f]++|[0-9]++);?", "")
+    name = F.regexp_extract(rest, "^([A-Za-z][A-Za-z0-9]*+;?+)", 1)
+    # Old names count without a semicolon, but not in front of an equals sign, where they are a query's.
+    value = F.when(~rest.rlike("^[A-Za-z0-9]++="), _NAMED(name))
+    return (
+        F.when(rest.rlike("^#(?:[0-9]|[xX][0-9A-Fa-f])"), F.concat(_code_point(number), after_number))
+        .otherwise(bind(value, lambda v: F.when(v.isNull(), F.concat(F.lit("&"), rest)).otherwise(F.concat(v, F.substr(rest, F.length(name) + 1)))))
+    )
+
+
 def decode_entities(text: Column) -> Column:
-    """Decode the entities that occur in attribute values."""
-    out = text
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"),
-                         ("&#39;", "'"), ("&#x27;", "'"), ("&#x2F;", "/"), ("&#x2f;", "/"), ("&#47;", "/"), ("&#x3D;", "="),
-                         ("&#61;", "="), ("&#x3F;", "?"), ("&#63;", "?"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(F.instr(text, "&") == 0, text).otherwise(out)
+    """Decode the character references of an attribute value, in one pass: numbers, and the names of HTML.
+
+    A name without a semicolon counts if HTML has it so and no letter, digit or equals sign follows.
+    """
+    decoded = bind(
+        F.split(text, "&", -1),
+        lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), _reference), "")),
+    )
+    return F.when(F.instr(text, "&") == 0, text).otherwise(decoded)
 
 
 def _unquoted(raw: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from crawlframe.functions.bind import bind
+from crawlframe.functions.tables import KEY, SLOT, VALUE, probe, slot_of
 from crawlframe.functions.urls import canonicalize_url, percent_decode
 from crawlframe.schema import DEFAULT_LIMIT_S
 
@@ -206,3 +207,39 @@ def robots_normalized(robots: Column) -> Column:
 def _number(digits: Column) -> Column:
     """Digits without leading zeros."""
     return F.regexp_replace(digits, "^0+(?=[0-9])", "")
+
+
+def rules_index(rules: Column) -> Column:
+    """Rules as a look-up table: struct of ``sizes``, the lengths of their paths, and ``slots``, path to first rule number and decision.
+
+    Made once for a host. A slot separator for every slot is sorted in among the rules, so the slots come out
+    of one sort and one split, however many rules there are.
+    """
+
+    def table(given: Column) -> Column:
+        size = F.greatest(F.lit(16), F.size(given) * 2)
+        # Paths may hold any character; their hexadecimal text holds none that parts a table. The last of a
+        # path counts when it is looked up, which is to be the first rule with it.
+        entries = F.transform(given, lambda r, i: bind(F.hex(r["path"]), lambda path: F.struct(
+            slot_of(path, size).alias("slot"), F.lit(0).alias("end"), path.alias("path"), (-i).alias("later"),
+            F.concat(F.lit(KEY), path, F.lit(VALUE), i.cast("string"), F.when(r["allow"], F.lit("+")).otherwise(F.lit("-"))).alias("text"),
+        )))
+        ends = F.transform(F.sequence(F.lit(0), size - 2), lambda s: F.struct(
+            s.alias("slot"), F.lit(1).alias("end"), F.lit("").alias("path"), F.lit(0).alias("later"), F.lit(SLOT).alias("text")))
+        joined = F.array_join(F.transform(F.array_sort(F.concat(entries, ends)), lambda e: e["text"]), "")
+        sizes = F.array_sort(F.array_distinct(F.transform(given, lambda r: F.length(r["path"]))))
+        return F.struct(sizes.alias("sizes"), F.split(joined, SLOT, -1).alias("slots"), size.alias("size"))
+
+    return F.when(rules.isNotNull(), bind(rules, table))
+
+
+def index_allows(index: Column, url: Column) -> Column:
+    """Decision of the first rule whose path is a prefix of the URL's, as :func:`rules_allow` gives it, by looking up the URL's own prefixes."""
+
+    def decide(target: Column) -> Column:
+        lengths = F.filter(index["sizes"], lambda n: n <= F.length(target))
+        found = F.transform(lengths, lambda n: probe(index["slots"], index["size"], F.hex(F.substr(target, F.lit(1), n))))
+        numbered = F.transform(F.array_compact(found), lambda v: F.struct(F.substr(v, F.lit(1), F.length(v) - 1).cast("int").alias("at"), v.endswith("+").alias("allow")))
+        return F.coalesce(F.array_min(numbered)["allow"], F.lit(True))
+
+    return bind(request_target(url), decide)

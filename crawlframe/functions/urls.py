@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlframe.functions.idna import ascii_host
+
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 
 # Characters that stand for themselves, as regular-expression classes.
@@ -109,11 +111,13 @@ def url_parts(url: Column) -> Column:
 
 
 def _canonical_host(netloc: Column, url: Column) -> Column:
-    """Lower-case the host after the last ``@`` and drop trailing colons."""
+    """Lower-case the host after the last ``@``, drop trailing colons, and encode labels outside ASCII."""
     with_user = F.concat(
-        F.regexp_extract(netloc, r"(?s)^(.*@)", 1), F.rtrim(F.lower(F.substring_index(netloc, "@", -1)), F.lit(":"))
+        F.regexp_extract(netloc, r"(?s)^(.*@)", 1), ascii_host(F.rtrim(F.lower(F.substring_index(netloc, "@", -1)), F.lit(":")))
     )
-    return F.when(F.instr(url, "@") == 0, F.rtrim(F.lower(netloc), F.lit(":"))).otherwise(with_user)
+    lower = F.rtrim(F.lower(netloc), F.lit(":"))
+    host = F.when(netloc.rlike(r"[^\x00-\x7F]"), ascii_host(lower)).otherwise(lower)
+    return F.when(F.instr(url, "@") == 0, host).otherwise(with_user)
 
 
 def canonical_path(path: Column) -> Column:

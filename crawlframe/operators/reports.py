@@ -29,20 +29,23 @@ def avg_per_group(df: DataFrame, key: str, alias: str) -> DataFrame:
     return group_counts(df, key).agg(F.bround(F.try_divide(F.sum("n_rows"), F.count("*")), 1).alias(alias))
 
 
-def crawl_summary(sites: DataFrame, pages: DataFrame, images: DataFrame, page_data: DataFrame) -> DataFrame:
-    """All totals and averages as (metric, value), one aggregate per table."""
+def pages_by_host(pages: DataFrame, host: str = "domain") -> DataFrame:
+    """(host, n_pages, n_duplicates): what the summary needs of the pages, a row per host."""
+    duplicates = F.count_if(F.col("page_type_code") == "DUPLICATE")
+    return pages.groupBy(host).agg(F.count("*").alias("n_pages"), duplicates.alias("n_duplicates"))
+
+
+def crawl_summary(sites: DataFrame, per_host: DataFrame, images: DataFrame, page_data: DataFrame) -> DataFrame:
+    """All totals and averages as (metric, value), one aggregate per table; ``per_host`` as :func:`pages_by_host` gives it."""
 
     def metrics(df: DataFrame, names: list[str]) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])
         return df.select(F.inline(pairs))
 
-    page_groups = pages.groupBy("site_id").agg(
-        F.count("*").alias("_n"), F.count_if(F.col("page_type_code") == "DUPLICATE").alias("_d")
-    )
-    page_metrics = page_groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("pages"),
-        F.coalesce(F.sum("_d"), F.lit(0)).alias("duplicates"),
-        F.bround(F.try_divide(F.sum("_n"), F.count("*")), 1).alias("avg_pages_per_site"),
+    page_metrics = per_host.agg(
+        F.coalesce(F.sum("n_pages"), F.lit(0)).alias("pages"),
+        F.coalesce(F.sum("n_duplicates"), F.lit(0)).alias("duplicates"),
+        F.bround(F.try_divide(F.sum("n_pages"), F.count("*")), 1).alias("avg_pages_per_site"),
     )
 
     def per_page(df: DataFrame, total: str, mean: str) -> DataFrame:

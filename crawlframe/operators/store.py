@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlframe.functions.robots import robots_rules, rules_allow
+from crawlframe.functions.robots import index_allows, robots_rules, rules_index
 from crawlframe.operators.ids import assign_ids
 from crawlframe.sources.keyed import KeyedView
 
@@ -64,14 +64,14 @@ def new_links_only(edges: DataFrame, stored: DataFrame) -> DataFrame:
 def robots_match(urls: DataFrame, sites: DataFrame, url: str = "url", domain: str = "domain") -> DataFrame:
     """Add ``allowed``: what the rules of the URL's host say for any agent.
 
-    The rules of a host are one array on its site row, so a URL meets exactly one row and the
-    first matching rule is picked in place: no prefix join and no grouping afterwards.
+    The rules of a host are one look-up table on its site row, so a URL meets exactly one row and looks up
+    its own prefixes of the lengths that occur: no prefix join, no grouping, and no walk over the rules.
     """
     # A text without an agent line has no rules; its host needs no row in the join.
     ruled = sites.where(F.col("robots_content").rlike("(?i)user-agent"))
-    rules = ruled.select(F.col("domain").alias(domain), robots_rules(F.col("robots_content")).alias("_rules"))
+    rules = ruled.select(F.col("domain").alias(domain), rules_index(robots_rules(F.col("robots_content"))).alias("_rules"))
     return urls.join(rules, domain, "left").select(
-        *[F.col(c) for c in urls.columns], rules_allow(F.col("_rules"), F.col(url)).alias("allowed")
+        *[F.col(c) for c in urls.columns], F.coalesce(index_allows(F.col("_rules"), F.col(url)), F.lit(True)).alias("allowed")
     )
 
 

@@ -375,12 +375,14 @@ def fk_violations(spark: SparkSession, sf: str) -> DataFrame:
     page_types, data_types = codes.where("code_table = 'page_type'"), codes.where("code_table = 'data_type'")
     link = derived.link_table(spark, sf)
     documents = derived.page_data(spark, sf)
-    page = _page_rows(spark, sf)
+    # Pages with the site id of their host among all hosts, of which the store has some.
+    every = derived.sites(spark, sf).select("domain", F.col("id").alias("site_id"))
+    page = _page_rows(spark, sf).select("domain", "page_type_code").join(every, "domain", "left")
     return store.fk_violations([
         ("fk_image_page_data", derived.images(spark, sf), "page_id", stored, "id"),
         ("fk_link_page", link, "from_page", stored, "id"),
         ("fk_link_page_1", link, "to_page", stored, "id"),
-        ("fk_page_site", page, "domain", derived.stored_sites(spark, sf), "domain"),
+        ("fk_page_site", page, "site_id", derived.stored_sites(spark, sf), "id"),
         ("fk_page_page_type", page, "page_type_code", page_types, "code"),
         ("fk_page_data_page", documents, "page_id", stored, "id"),
         ("fk_page_data_data_type", documents, "data_type_code", data_types, "code"),
@@ -462,17 +464,20 @@ def avg_documents_per_page(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("crawl_summary")
 def crawl_summary(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _page_rows(spark, sf).select(F.col("domain").alias("site_id"), "page_type_code")
+    rows = _page_rows(spark, sf).select("domain", "page_type_code")
+    per_host = checkpointed(reports.pages_by_host(rows))
     stored = derived.stored_sites(spark, sf).select("domain")
-    all_sites = stored.unionByName(rows.select(F.col("site_id").alias("domain"))).distinct()
-    return reports.crawl_summary(all_sites, rows, derived.images(spark, sf), derived.page_data(spark, sf))
+    all_sites = stored.unionByName(per_host.select("domain")).distinct()
+    return reports.crawl_summary(all_sites, per_host, derived.images(spark, sf), derived.page_data(spark, sf))
 
 
 @query("unique_violations")
 def unique_violations(spark: SparkSession, sf: str) -> DataFrame:
     all_edges = derived.edges(spark, sf).withColumnsRenamed({"src": "from_page", "dst": "to_page"})
-    sites = derived.sites(spark, sf)
+    sites, codes = derived.sites(spark, sf), tables.code_tables(spark)
     pages = _canonical(derived.pages(spark, sf).select("page_id", "url"))
+    # Image ids as a store would have that numbers each page's images anew: repeated wherever pages have as many.
+    images = derived.images(spark, sf).select(F.col("pos").alias("id"))
     return store.unique_violations([
         ("pk_frontier_url", derived.links(spark, sf), ["url"]),
         ("unq_domain_idx", sites, ["domain"]),
@@ -480,6 +485,9 @@ def unique_violations(spark: SparkSession, sf: str) -> DataFrame:
         ("unq_url_idx", pages, ["url"]),
         ("pk_page_id", pages, ["page_id"]),
         ("pk_page_data_id", derived.page_data(spark, sf), ["id"]),
+        ("pk_image_id", images, ["id"]),
+        ("pk_data_type_code", codes.where("code_table = 'data_type'"), ["code"]),
+        ("pk_page_type_code", codes.where("code_table = 'page_type'"), ["code"]),
         ("pk_link", all_edges, ["from_page", "to_page"]),
     ])
 
@@ -617,6 +625,12 @@ def registered_domain(spark: SparkSession, sf: str) -> DataFrame:
     ).select("page_id", "host", "d.*")
 
 
+@query("canonicalize_url_hosts")
+def canonicalize_url_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    """URLs of every page with a host outside ASCII."""
+    return derived.foreign_urls(spark, sf).select("page_id", "url", urls.canonicalize_url(F.col("url")).alias("canonical"))
+
+
 @query("registered_domain_listed")
 def registered_domain_listed(spark: SparkSession, sf: str) -> DataFrame:
     """Registered domains by the whole public-suffix list."""
@@ -694,6 +708,14 @@ def content_hash(spark: SparkSession, sf: str) -> DataFrame:
     return derived.pages(spark, sf).select("page_id", content.content_hash(F.col("html")).alias("html_hash"))
 
 
+@query("content_hash_groups")
+def content_hash_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """First document, number of documents and digest length of every digest."""
+    hashed = tables.given_table(spark, sf, "documents").select("doc_id", content.content_hash(F.col("text")).alias("html_hash"))
+    groups = hashed.where(F.col("html_hash").isNotNull()).groupBy("html_hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_rows"))
+    return groups.select("first", "n_rows", F.length("html_hash").cast("long").alias("hash_chars"))
+
+
 @query("content_bytes")
 def content_bytes(spark: SparkSession, sf: str) -> DataFrame:
     data = content.content_bytes(F.col("text"))

@@ -239,3 +239,13 @@ def resources(spark: SparkSession, sf: str) -> DataFrame:
         F.col("host").alias("content"), F.lit(1900000000).cast("long").alias("accessed_s"),
     )
     return own.unionByName(shared)
+
+
+#: Hosts outside ASCII.
+FOREIGN_HOSTS = ["münchen.de", "BÜCHER.example:8080", "日本語.jp", "правда.рф", "faß.de", "čaj.gov.si", "例え。テスト"]
+
+
+def foreign_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """(page_id, url): a URL on one of seven hosts outside ASCII for every page."""
+    host = F.get(F.array(*[F.lit(h) for h in FOREIGN_HOSTS]), (F.col("page_id") % len(FOREIGN_HOSTS)).cast("int"))
+    return pages(spark, sf).select("page_id", _cat("https://", host, "/p", F.col("page_id").cast("string"), "#x").alias("url"))

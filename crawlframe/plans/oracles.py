@@ -404,7 +404,7 @@ SELECT constraint_name, key, count(*) AS n_rows FROM (
   SELECT 'fk_image_page_data' AS constraint_name, CAST(page_id AS VARCHAR) AS key FROM fx_images WHERE page_id NOT IN (SELECT id FROM fx_stored)
   UNION ALL SELECT 'fk_link_page', CAST(from_page AS VARCHAR) FROM fx_link_table WHERE from_page NOT IN (SELECT id FROM fx_stored)
   UNION ALL SELECT 'fk_link_page_1', CAST(to_page AS VARCHAR) FROM fx_link_table WHERE to_page NOT IN (SELECT id FROM fx_stored)
-  UNION ALL SELECT 'fk_page_site', domain FROM page_rows WHERE domain NOT IN (SELECT domain FROM fx_stored_sites)
+  UNION ALL SELECT 'fk_page_site', CAST(s.id AS VARCHAR) FROM page_rows r JOIN fx_sites s USING (domain) WHERE s.id NOT IN (SELECT id FROM fx_stored_sites)
   UNION ALL SELECT 'fk_page_page_type', page_type_code FROM page_rows WHERE page_type_code NOT IN ('HTML', 'BINARY', 'DUPLICATE', 'FRONTIER')
   UNION ALL SELECT 'fk_page_data_page', CAST(page_id AS VARCHAR) FROM fx_page_data WHERE page_id NOT IN (SELECT id FROM fx_stored)
   UNION ALL SELECT 'fk_page_data_data_type', data_type_code FROM fx_page_data WHERE data_type_code NOT IN ('PDF', 'DOC', 'DOCX', 'PPT', 'PPTX')
@@ -444,13 +444,14 @@ UNION ALL SELECT 'images', count(*) FROM fx_images
 UNION ALL SELECT 'avg_images_per_page', round_even(CAST(count(*) AS DOUBLE) / count(DISTINCT page_id), 1) FROM fx_images
 UNION ALL SELECT 'documents', count(*) FROM fx_page_data
 UNION ALL SELECT 'avg_documents_per_page', round_even(CAST(count(*) AS DOUBLE) / count(DISTINCT page_id), 1) FROM fx_page_data""")
-oracle("unique_violations", [*_LINKS, "fx_sites", "canon", "fx_page_data"], """
+oracle("unique_violations", [*_LINKS, "fx_sites", "canon", "fx_page_data", "fx_images"], """
 SELECT 'pk_frontier_url' AS constraint_name, url AS key, count(*) AS n_rows FROM fx_links GROUP BY url HAVING count(*) > 1
 UNION ALL SELECT 'unq_domain_idx', domain, count(*) FROM fx_sites GROUP BY domain HAVING count(*) > 1
 UNION ALL SELECT 'pk_site_id', CAST(id AS VARCHAR), count(*) FROM fx_sites GROUP BY id HAVING count(*) > 1
 UNION ALL SELECT 'unq_url_idx', canonical, count(*) FROM pages JOIN canon ON raw = url GROUP BY canonical HAVING count(*) > 1
 UNION ALL SELECT 'pk_page_id', CAST(page_id AS VARCHAR), count(*) FROM pages GROUP BY page_id HAVING count(*) > 1
 UNION ALL SELECT 'pk_page_data_id', CAST(id AS VARCHAR), count(*) FROM fx_page_data GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'pk_image_id', CAST(pos AS VARCHAR), count(*) FROM fx_images GROUP BY pos HAVING count(*) > 1
 UNION ALL SELECT 'pk_link', concat(src, ',', dst), count(*) FROM fx_edges GROUP BY src, dst HAVING count(*) > 1""")
 oracle("frontier_queue_lengths", _LINKS, "SELECT host, count(*) AS queued FROM fx_links GROUP BY host")
 oracle("concat_sitemaps", ["fx_sites"], """
@@ -505,6 +506,13 @@ SELECT url, filename, content_type, md5(data) AS data_md5, accessed_s, CAST(NULL
     ELSE [] END, recursive := true)
   FROM (SELECT p.page_id, c.canonical, row_number() OVER (PARTITION BY c.canonical ORDER BY p.page_id) AS k FROM pages p JOIN canon c ON c.raw = p.url) v WHERE k = 1) t
 WHERE ok""")
+oracle("canonicalize_url_hosts", [], """
+SELECT page_id, 'https://' || host || '/p' || page_id || '#x' AS url, 'http://' || encoded || '/p' || page_id AS canonical
+FROM pages JOIN (VALUES (0, 'münchen.de', 'xn--mnchen-3ya.de'), (1, 'BÜCHER.example:8080', 'xn--bcher-kva.example:8080'), (2, '日本語.jp', 'xn--wgv71a119e.jp'),
+  (3, 'правда.рф', 'xn--80aafi6cg.xn--p1ai'), (4, 'faß.de', 'fass.de'), (5, 'čaj.gov.si', 'xn--aj-dma.gov.si'), (6, '例え。テスト', 'xn--r8jz45g.xn--zckzah')) v(k, host, encoded)
+  ON page_id % 7 = k""")
+oracle("content_hash_groups", [], """
+SELECT min(doc_id) AS first, count(*) AS n_rows, CAST(128 AS BIGINT) AS hash_chars FROM documents WHERE text IS NOT NULL GROUP BY text""")
 oracle("registered_domain_listed", ["rules", "listed"], "SELECT * FROM listed")
 oracle("filter_registered_domain_listed", ["rules", "listed"], """
 SELECT page_id, 'https://' || host || '/x' AS url FROM listed

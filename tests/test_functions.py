@@ -232,6 +232,46 @@ def test_robots_decisions_like_standard_library(spark, robots_cases):
     df = spark.createDataFrame(rows, "t string, u string, want boolean")
     wrong = df.where(robots.rules_allow(robots.robots_rules(C("t")), C("u")) != C("want"))
     assert wrong.limit(3).collect() == []
+    looked_up = df.where(robots.index_allows(robots.rules_index(robots.robots_rules(C("t"))), C("u")) != C("want"))
+    assert looked_up.limit(3).collect() == []
+
+
+def test_looking_up_rules_costs_no_walk_over_them(spark):
+    import time
+
+    def seconds(n):
+        text = "User-agent: *\n" + "".join(f"{'Allow' if i % 3 else 'Disallow'}: /d{i % 7}/p{i}\n" for i in range(n)) + "Disallow: /d\n"
+        df = spark.createDataFrame([(text,)], "t string").select(robots.rules_index(robots.robots_rules(C("t"))).alias("r")).persist()
+        table = spark.range(20_000).selectExpr(f"concat('http://h.si/d', id % 7, '/p', id % {2 * n}, '/x') as u", "id").crossJoin(F.broadcast(df))
+        allowed = table.select("id", robots.index_allows(C("r"), C("u")).alias("a"))
+        want = {i: next((j % 3 > 0 for j in range(n) if f"/d{i % 7}/p{i % (2 * n)}/x".startswith(f"/d{j % 7}/p{j}")), False) for i in range(0, 20_000, 997)}
+        df.count()
+        start = time.perf_counter()
+        allowed.agg(F.count_if("a")).collect()
+        took = time.perf_counter() - start
+        assert {r.id: r.a for r in allowed.where("id % 997 = 0").collect()} == want
+        df.unpersist()
+        return took
+
+    seconds(50)
+    assert seconds(5_000) < 6 * seconds(50) + 1
+
+
+def test_hosts_outside_ascii(spark):
+    from crawlframe.functions.idna import ascii_host
+
+    golden = {
+        "münchen.de": "xn--mnchen-3ya.de", "日本語.jp": "xn--wgv71a119e.jp", "bücher.example:80": "xn--bcher-kva.example:80", "faß.de": "fass.de",
+        "例え。テスト": "xn--r8jz45g.xn--zckzah", "a.b": "a.b", "": "", "правда.рф": "xn--80aafi6cg.xn--p1ai", "ü" * 80 + ".de": "ü" * 80 + ".de",
+    }
+    assert values(spark, list(golden), ascii_host) == list(golden.values())
+    rng = random.Random(2)
+    labels = ["".join(rng.choice("abz09-äöüéñžčšđ中文字日本αβγδ😀اب") for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    want = [x if x.isascii() else "xn--" + x.encode("punycode").decode() for x in labels]
+    assert values(spark, labels, ascii_host) == want
+    cases = {"http://Čaj.SI/ž": "http://xn--aj-dma.si/%C5%BE", "https://u@Čaj.si:8080/": "http://u@xn--aj-dma.si:8080/"}
+    assert values(spark, list(cases), urls.canonicalize_url) == list(cases.values())
+    assert values(spark, ["Čaj.si/x"], urls.url_domain) == ["http://xn--aj-dma.si"]
 
 
 def test_robots_limits_like_standard_library(spark, robots_cases):
@@ -271,3 +311,41 @@ def test_place_orders_by_both_numbers(spark):
     df = spark.createDataFrame(rows, "a long, b long").withColumn("p", place(C("a"), C("b")))
     got = df.orderBy("p").select("a", "b", place_high(C("p")).alias("h"), place_low(C("p")).alias("l")).collect()
     assert [(r.a, r.b) for r in got] == rows and all((r.a, r.b) == (r.h, r.l) for r in got)
+
+
+def test_character_references(spark):
+    """Golden cases, and random texts against the rule for attribute values in plain Python."""
+    import re
+    from html.entities import html5
+
+    from crawlframe.functions.html import decode_entities
+
+    golden = {
+        "&eacute;": "é", "&#233;": "é", "&#xE9;": "é", "&#XE9": "é", "&ampx": "&ampx", "&#38;lt;": "&lt;", "&amp;lt;": "&lt;", "a?x=1&copy=2": "a?x=1&copy=2",
+        "&copy": "©", "&copy;2": "©2", "&notin;&notit;": "∉&notit;", "&#0;&#x110000;&#xD800;&#99999999999;": "\ufffd" * 4, "&#150;&#x80;&#x81;": "–€\x81", "&#x1F600;": "😀",
+        "&NotEqualTilde;": "≂̸", "&": "&", "&&#;&#x;&;&nosuch;": "&&#;&#x;&;&nosuch;", "&#0000000000065;": "A", "x&AMP;y&lt": "x&y<", "": "", "&#65b": "Ab", "&nbsp;": "\xa0",
+    }
+    df = spark.createDataFrame([(k,) for k in golden] + [(None,)], "t string")
+    got = {r.t: r.d for r in df.select("t", decode_entities(F.col("t")).alias("d")).collect()}
+    assert got == golden | {None: None}
+
+    def number(n):
+        if n == 0 or n > 0x10FFFF or 0xD800 <= n < 0xE000:
+            return "\ufffd"
+        return (bytes([n]).decode("cp1252", "ignore") if 128 <= n < 160 else "") or chr(n)
+
+    def plain(text):
+        def one(m):
+            said = m[0][1:]
+            if said[0] == "#":
+                digits = said.strip("#;")
+                return number(int(digits[1:], 16) if digits[0] in "xX" else int(digits))
+            return html5.get(said, m[0])
+        return re.sub(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|[A-Za-z][A-Za-z0-9]*(?![A-Za-z0-9=]))", one, text)
+
+    rng = random.Random(5)
+    parts = ["&", "amp", "lt", "copy", "eacute", "notin", "nosuch", ";", "#", "x", "65", "233", "3c", "=", "a", " ", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", decode_entities(F.col("t")).alias("d")).collect():
+        assert r.d == plain(r.t), r.t

@@ -211,7 +211,7 @@ def test_graph(spark):
 def test_reports_of_empty_tables(spark):
     empty = spark.createDataFrame([], "site_id long, page_id long, page_type_code string, domain string")
     assert reports.avg_per_group(empty, "site_id", "a").collect()[0].a is None
-    got = {r.metric: r.value for r in reports.crawl_summary(empty, empty, empty, empty).collect()}
+    got = {r.metric: r.value for r in reports.crawl_summary(empty, reports.pages_by_host(empty), empty, empty).collect()}
     assert got["sites"] == 0 and got["pages"] == 0 and got["avg_images_per_page"] is None and len(got) == 8
 
 
