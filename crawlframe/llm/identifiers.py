@@ -1,18 +1,23 @@
 """Personal identifiers: fixed kinds by pattern, unseen ones by bootstrapped contexts.
 
-The fixed kinds (email, ip, card, phone) are found by regular expressions. They are the seeds: the words
-in front of and behind a seed make lexical patterns, ``(kind, words before, word after)`` with either
-side, and the same patterns surround other tokens that look like identifiers (four digits or more among
-letters, digits and ``-._/#``). Patterns and instances form a graph, scored in turns:
+The fixed kinds (email, ip, card, phone) are found by regular expressions. They are the seeds. The words
+around a seed make lexical patterns of its kind, ``(kind, two words before)`` and ``(kind, word before, word
+after)``, digits in them written as one 0. Patterns with enough distinct seeds are looked for in all texts,
+and what stands in them is proposed as an identifier, whatever it looks like: the one word after the two, or
+the shortest run of up to ``RUN`` words between the other two. Patterns and what stands in them form a graph:
 
-* a pattern scores the share of its distinct instances that are believed, weighed down for few
-  instances: ``sum(belief) / (instances + 1)``;
-* an instance that is no seed is believed as much as its best pattern with enough seeds.
+* a pattern scores the share of its distinct instances that are believed, weighed down for few instances:
+  ``sum(belief) / (instances + 1)``, and is believed from ``accept`` on;
+* an instance that is no seed is believed as much as its best believed pattern, less a tenth unless its
+  shape is one that seeds of the kind have; below ``accept`` it is not believed at all.
 
-Three turns carry belief from seeds over patterns to instances and on to patterns with few seeds of
-their own. Instances whose belief reaches ``accept`` are reported where a believed pattern stands
-around them, as spans of kind ``context``. Distinct pattern-instance pairs are counted before anything
-is joined; only DataFrame functions are used.
+Rounds carry belief from seeds over patterns to instances and on to other patterns, until no further pattern
+or instance is believed. Believed instances are reported where they stand in a believed pattern, as spans of
+kind ``context``; one inside a longer one is dropped. A pattern of words that stand in front of everything
+has many instances and few seeds, and is never believed.
+
+The search for patterns goes over the words of all texts. A filter of ``BITS`` bits, filled with the keys of
+the patterns, keeps most places out of the join; keys decide there. Only DataFrame functions are used.
 
 Spans are in code points, end exclusive. Places come from the lengths of the parts between matches, so
 every text is read by the engine's own expressions alone.
@@ -23,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlframe.functions.bind import bind
 from crawlframe.llm.common import stored
 
 # Kinds in order, with what a text must hold to be searched, and the rule. Repeats are
@@ -36,11 +42,12 @@ RULES = {
     "card": "[0-9](?:[\\x20-]?[0-9]){11,}+",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
 }
-TOKEN = "(?<![A-Za-z0-9._/#-])(?=(?:[A-Za-z._/#-]*+[0-9]){4})[A-Za-z0-9._/#-]*[A-Za-z0-9]"
-#: Characters of context looked at on either side of a token.
-REACH = 48
-#: Least seeds of a trusted pattern, belief at which an instance is accepted, turns of scoring.
-LEAST_SEEDS, ACCEPT, TURNS = 3, 0.6, 3
+#: Characters in front of and behind a seed in which its words are looked for; a word that reaches over them is none.
+REACH = 200
+#: Longest run of words that a pattern proposes, and bits of the filter of pattern keys.
+RUN, BITS = 4, 1 << 18
+#: Least distinct believed instances of a believed pattern, belief from which on something is believed.
+LEAST_SEEDS, ACCEPT = 3, 0.6
 
 
 def _spans(text: Column, rule: str) -> Column:
@@ -94,42 +101,93 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[_of_kind(text, number, kind) for number, kind in enumerate(KINDS)]))
 
 
-def _candidates(text: Column, base: Column) -> Column:
-    """Tokens with four digits or more that touch no base span."""
-    return F.filter(_spans(text, TOKEN), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-
-
 def _shape(words: Column) -> Column:
     return F.lower(F.regexp_replace(words, "[0-9]+", "0"))
 
 
-def _contexts(occurrences: DataFrame) -> DataFrame:
-    """A row per occurrence and pattern: two words before, one before with one after; unless there are none."""
-    before = F.regexp_extract(F.col("before"), "((?:\\S+\\s+)?\\S+)\\s*$", 1)
-    last = F.regexp_extract(F.col("before"), "(\\S+)\\s*$", 1)
-    after = F.regexp_extract(F.col("after"), "^\\W*(\\S+)", 1)
-    patterns = F.array(F.concat(F.lit("2|"), _shape(before)), F.concat(F.lit("1|"), _shape(last), F.lit("|"), _shape(after)))
-    usable = F.array(F.length(before) > 0, (F.length(last) > 0) & (F.length(after) > 0))
-    kept = F.filter(F.arrays_zip(patterns.alias("p"), usable.alias("u")), lambda x: x["u"])
-    return occurrences.withColumn("pattern", F.explode(F.transform(kept, lambda x: x["p"])))
+def _looks(instance: Column) -> Column:
+    """What an instance looks like: runs of digits, small letters and capitals as one sign each."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(instance, "[0-9]+", "0"), "\\p{Ll}+", "a"), "\\p{Lu}+", "A")
 
 
-def _believed(pairs: DataFrame, least_seeds: int, turns: int) -> tuple[DataFrame, DataFrame]:
-    """Scores of patterns and beliefs of instances over the graph of distinct pairs."""
-    seeds = pairs.select("instance", "seed").distinct().groupBy("instance").agg(F.max("seed").alias("belief"))
-    beliefs, patterns = stored(seeds.withColumn("belief", F.col("belief").cast("double")), "beliefs0"), None
-    for turn in range(1, turns + 1):
-        score = F.sum("belief") / (F.count("*") + 1)
-        patterns = pairs.join(beliefs, "instance").groupBy("pattern").agg(score.alias("score"), F.count(F.when(F.col("belief") > 0, 1)).alias("seeds"))
-        patterns = stored(patterns.filter(F.col("seeds") >= least_seeds).select("pattern", "score"), f"patterns{turn}")
-        best = pairs.join(patterns, "pattern").groupBy("instance").agg(F.max("score").alias("best"))
-        rows = seeds.join(best, "instance", "left")
-        belief = F.when(F.col("belief") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0)))
-        beliefs = stored(rows.select("instance", belief.alias("belief")), f"beliefs{turn}")
-    return patterns, beliefs
+def _keys(before2: Column, before1: Column, after: Column) -> Column:
+    """Keys of the patterns that the words make, a null for a word that is not there."""
+    return F.array(F.concat(F.lit("2|"), before2, F.lit(" "), before1), F.concat(F.lit("1|"), before1, F.lit("|"), after))
+
+
+def _seed_patterns(found: DataFrame) -> DataFrame:
+    """``kind, key, instance``: seeds in their patterns, once each."""
+    seeds = found.select(F.explode("seen").alias("s")).select("s.*")
+    before, after = F.col("before"), F.col("after")
+    one = F.nullif(F.regexp_extract(before, "\\s(\\S+)\\s+$", 1), F.lit(""))
+    two = F.nullif(F.regexp_extract(before, "\\s(\\S+)\\s+\\S+\\s+$", 1), F.lit(""))
+    next_ = F.nullif(F.regexp_extract(after, "^\\p{Punct}*\\s+(\\S+)\\s", 1), F.lit(""))
+    keys = F.array_compact(_keys(_shape(two), _shape(one), _shape(next_)))
+    return seeds.select("kind", F.explode(keys).alias("key"), F.col("said").alias("instance")).distinct()
+
+
+def _bit(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITS)).cast("int")
+
+
+def _key_filter(patterns: DataFrame) -> Column:
+    """The filter as one literal array of numbers of 32 bits; its size does not follow the patterns."""
+    bits = patterns.select(_bit(F.col("key")).alias("b"))
+    word = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b") % 32)).alias("w")
+    words = {r["at"]: r["w"] for r in bits.groupBy(F.floor(F.col("b") / 32).cast("int").alias("at")).agg(word).collect()}
+    return F.split(F.lit(",".join(str(words.get(k, 0)) for k in range(BITS // 32))), ",").cast("array<long>")
 
 
-def identifiers(docs: DataFrame, least_seeds: int = LEAST_SEEDS, accept: float = ACCEPT, turns: int = TURNS) -> DataFrame:
+def _places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``doc_id, print, at, run, key, instance``: places (in words) where a run of words may stand in a pattern, no seed in it."""
+    held = _key_filter(patterns)
+
+    def passes(key: Column) -> Column:
+        return bind(_bit(key), lambda b: F.get(held, F.floor(b / 32).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), b % 32)) != 0)
+
+    # Blanks stay where they are in the shape of a text, so its words are the words' shapes.
+    words, shapes = F.regexp_extract_all("text", F.lit("\\S+"), F.lit(0)), F.regexp_extract_all(_shape(F.col("text")), F.lit("\\S+"), F.lit(0))
+    rows = docs.select("doc_id", "print", "taken", words.alias("words"), shapes.alias("shapes"))
+    kind = "array<struct<at:int,run:int,key:string>>"
+
+    def at_word(i: Column) -> Column:
+        """Runs after word ``i``: one word after it and the one before, and up to ``RUN`` up to a word that makes a pattern with it."""
+        one = F.get("shapes", i)
+        two = F.concat(F.lit("2|"), F.get("shapes", i - 1), F.lit(" "), one)
+        spans = [F.when((i + 1 < F.size("shapes")) & F.coalesce(passes(two), F.lit(False)), F.struct((i + 1).alias("at"), F.lit(1).alias("run"), two.alias("key")))]
+        for run in range(1, RUN + 1):
+            key = F.concat(F.lit("1|"), one, F.lit("|"), F.get("shapes", i + run + 1))
+            spans.append(F.when(F.coalesce(passes(key), F.lit(False)), F.struct((i + 1).alias("at"), F.lit(run).alias("run"), key.alias("key"))))
+        return F.array_compact(F.array(*spans)).cast(kind)
+
+    near = F.flatten(F.transform(F.sequence(F.lit(0), F.size("shapes") - 1), at_word))
+    rows = rows.filter(F.size("shapes") > 1).withColumn("p", F.explode(near)).select("doc_id", "print", "taken", "words", "p.*")
+    free = ~F.exists("taken", lambda t: (t["first"] < F.col("at") + F.col("run")) & (F.col("at") <= t["last"]))
+    said = F.regexp_replace(F.array_join(F.slice("words", F.col("at") + 1, F.col("run")), " "), "[.,;:!?]+$", "")
+    return rows.filter(free).select("doc_id", "print", "at", "run", "key", said.alias("instance")).filter("instance <> ''")
+
+
+def _believed(pairs: DataFrame, least_seeds: int, accept: float) -> tuple[DataFrame, DataFrame]:
+    """Believed patterns ``(kind, key)`` and instances ``(kind, instance)`` of the graph ``kind, key, instance, seed, like``."""
+    beliefs = pairs.groupBy("kind", "instance").agg(F.max("seed").cast("double").alias("belief"))
+    settled, turn = None, 0
+    while True:
+        turn += 1
+        score = F.sum("belief") / (F.count("*") + 1)
+        scored = pairs.join(beliefs, ["kind", "instance"]).groupBy("kind", "key").agg(score.alias("score"), F.count(F.when(F.col("belief") > 0, 1)).alias("known"))
+        patterns = stored(scored.filter((F.col("known") >= least_seeds) & (F.col("score") >= accept)).select("kind", "key", "score"), f"patterns{turn}")
+        best = F.max(F.col("score") * 0.9 + F.col("like") * 0.1)
+        grown = pairs.join(patterns, ["kind", "key"], "left").groupBy("kind", "instance").agg(F.max("seed").alias("seed"), F.coalesce(best, F.lit(0.0)).alias("best"))
+        belief = F.when(F.col("seed") > 0, 1.0).when(F.col("best") >= accept, F.col("best")).otherwise(0.0)
+        beliefs = stored(grown.select("kind", "instance", belief.alias("belief"), "seed"), f"beliefs{turn}")
+        now = (patterns.count(), beliefs.filter("belief > 0").count())
+        # Belief only grows from round to round, so the counts stand still when nothing changes any more.
+        if now == settled or now[0] == 0:
+            return patterns.select("kind", "key"), beliefs.filter("belief > 0 and seed = 0").select("kind", "instance")
+        settled = now
+
+
+def identifiers(docs: DataFrame, least_seeds: int = LEAST_SEEDS, accept: float = ACCEPT) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, n_context, base_sha256, spans``, a row for each row of ``docs``.
 
     Null and empty texts have no spans. Rows alike in doc_id and text are found alike and keep a row each.
@@ -137,32 +195,35 @@ def identifiers(docs: DataFrame, least_seeds: int = LEAST_SEEDS, accept: float =
     """
     text = F.coalesce("text", F.lit(""))
     read = docs.select(F.col("doc_id"), F.xxhash64("text").alias("print"), text.alias("text"), base_spans(text).alias("base"))
-    busy = F.col("text").rlike("[0-9]")
-    none = F.array().cast("array<struct<start:int,end:int,said:string>>")
-    read = read.withColumn("other", F.when(busy, _candidates(F.col("text"), F.col("base"))).otherwise(none))
 
-    def around(s: Column) -> tuple[Column, Column]:
+    def before(s: Column) -> Column:
         begin = F.greatest(s["start"] - REACH, F.lit(0))
-        return F.substring("text", begin + 1, s["start"] - begin), F.substring("text", s["end"] + 1, F.lit(REACH))
-
-    def placed(spans: str, seed: int) -> Column:
-        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["said"].alias("instance"), F.lit(seed).alias("seed"), around(s)[0].alias("before"), around(s)[1].alias("after")))
-
-    read = read.select("doc_id", "print", "base", F.concat(placed("base", 1), placed("other", 0)).alias("seen"))
-    # Written once: spans and contexts are small beside the texts, and are used by turns and report.
-    found = stored(read, "spans")
-
-    occurrences = found.select("doc_id", "print", F.explode("seen").alias("s")).select("doc_id", "print", "s.*")
-    placed_patterns = stored(_contexts(occurrences).select("doc_id", "print", "start", "end", "instance", "seed", "pattern"), "contexts")
-    pairs = stored(placed_patterns.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pairs")
-    patterns, beliefs = _believed(pairs, least_seeds, turns)
-    accepted = beliefs.filter(F.col("belief") >= accept).select("instance")
-    fresh = placed_patterns.filter("seed = 0").join(patterns.filter(F.col("score") >= accept), "pattern", "left_semi").join(accepted, "instance", "left_semi")
-    spans = F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")
-    extra = fresh.groupBy("doc_id", "print").agg(F.collect_set(spans).alias("extra"))
-    extra = extra.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), "extra")
-
-    rows = found.join(extra, found["doc_id"].eqNullSafe(F.col("_id")) & (found["print"] == F.col("_print")), "left")
+        # The blank in front says that the text's first word is whole.
+        return F.concat(F.when(begin == 0, F.lit(" ")).otherwise(F.lit("")), F.substring("text", begin + 1, s["start"] - begin))
+
+    def after(s: Column) -> Column:
+        return F.concat(F.substring("text", s["end"] + 1, F.lit(REACH)), F.when(F.length("text") <= s["end"] + REACH, F.lit(" ")).otherwise(F.lit("")))
+
+    def words_in(part: Column) -> Column:
+        return F.size(F.regexp_extract_all(part, F.lit("\\S+"), F.lit(0)))
+
+    def taken(s: Column) -> Column:
+        """First and last word that the span touches."""
+        inside = F.substring("text", s["start"], F.lit(1)).rlike("\\S") & (s["start"] > 0)
+        first = words_in(F.substring("text", F.lit(1), s["start"])) - F.when(inside, 1).otherwise(0)
+        return F.struct(first.alias("first"), (words_in(F.substring("text", F.lit(1), s["end"])) - 1).alias("last"))
+
+    seen = F.transform("base", lambda s: F.struct(F.get(F.array(*[F.lit(k) for k in KINDS]), s["kind"]).alias("kind"), s["said"].alias("said"), before(s).alias("before"), after(s).alias("after")))
+    # Written once: spans and contexts are small beside the texts.
+    found = stored(read.select("doc_id", "print", "base", seen.alias("seen"), F.transform("base", taken).alias("taken")), "spans")
+
+    seeds = stored(_seed_patterns(found), "seeds")
+    patterns = stored(seeds.groupBy("kind", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= least_seeds).select("kind", "key"), "candidates")
+    extra = None if patterns.isEmpty() else _contexts(docs, found, seeds, patterns, least_seeds, accept)
+    if extra is None:
+        rows = found.withColumn("extra", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+    else:
+        rows = found.join(extra, found["doc_id"].eqNullSafe(extra["_id"]) & (found["print"] == extra["_print"]), "left")
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     every = F.array_sort(F.concat(base, F.coalesce("extra", F.array().cast("array<struct<start:int,kind:int,end:int>>"))))
     names = F.array(*[F.lit(k) for k in (*KINDS, "context")])
@@ -175,3 +236,43 @@ def identifiers(docs: DataFrame, least_seeds: int = LEAST_SEEDS, accept: float =
 
     counts = [counted(k, name) for k, name in enumerate((*KINDS, "context"))]
     return rows.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(every).alias("spans"))
+
+
+def _contexts(docs: DataFrame, found: DataFrame, seeds: DataFrame, patterns: DataFrame, least_seeds: int, accept: float) -> DataFrame:
+    """``_id, _print, extra``: the spans that believed patterns and instances add to a document."""
+    # Rows alike in id and text are one document here.
+    once = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
+    ranges = found.filter(F.size("taken") > 0).groupBy("doc_id", "print").agg(F.first("taken").alias("taken"))
+    ranges = ranges.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), "taken")
+    none = F.array().cast("array<struct<first:int,last:int>>")
+    searched = once.join(ranges, once["doc_id"].eqNullSafe(ranges["_id"]) & (once["print"] == ranges["_print"]), "left").withColumn("taken", F.coalesce("taken", none))
+    places = _places(searched, patterns).join(patterns, "key")
+    # Of the runs between two words the shortest one is meant.
+    shortest = places.groupBy("doc_id", "print", "at", "kind", "key").agg(F.min(F.struct("run", "instance")).alias("s"))
+    places = stored(shortest.select("doc_id", "print", "at", "kind", "key", "s.run", "s.instance"), "places")
+    likes = seeds.select("kind", _looks(F.col("instance")).alias("looks")).distinct().withColumn("like", F.lit(1))
+    others = places.select("kind", "key", "instance").distinct().withColumn("looks", _looks(F.col("instance"))).join(likes, ["kind", "looks"], "left")
+    others = others.select("kind", "key", "instance", F.lit(0).alias("seed"), F.coalesce("like", F.lit(0)).alias("like"))
+    own = seeds.join(patterns, ["kind", "key"], "left_semi").select("kind", "key", "instance", F.lit(1).alias("seed"), F.lit(1).alias("like"))
+    pairs = own.unionByName(others).groupBy("kind", "key", "instance").agg(F.max("seed").alias("seed"), F.max("like").alias("like"))
+    believed, accepted = _believed(stored(pairs, "pairs"), least_seeds, accept)
+
+    hits = places.join(believed, ["kind", "key"], "left_semi").join(accepted, ["kind", "instance"], "left_semi")
+    hits = hits.groupBy("doc_id", "print").agg(F.collect_set(F.struct("at", "run", "instance")).alias("hits")).select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), "hits")
+    hit = once.dropDuplicates(["doc_id", "print"]).join(hits, once["doc_id"].eqNullSafe(hits["_id"]) & (once["print"] == hits["_print"]))
+    words, gaps = F.regexp_extract_all("text", F.lit("\\S+"), F.lit(0)), F.split("text", "\\S+", -1)
+    hit = hit.select("_id", "_print", "hits", words.alias("words"), gaps.alias("gaps"))
+
+    def chars(parts: str, start: Column, n: Column) -> Column:
+        return F.length(F.array_join(F.slice(parts, start, n), ""))
+
+    def span(h: Column) -> Column:
+        start = chars("words", F.lit(1), h["at"]) + chars("gaps", F.lit(1), h["at"] + 1)
+        # Its length in the text: blanks inside it are as they stand there, the full stop behind it is not part of it.
+        inner = chars("words", h["at"] + 1, h["run"]) + chars("gaps", h["at"] + 2, h["run"] - 1)
+        cut = chars("words", h["at"] + 1, h["run"]) + h["run"] - 1 - F.length(h["instance"])
+        return F.struct(start.alias("start"), F.lit(len(KINDS)).alias("kind"), (start + inner - cut).alias("end"))
+
+    spans = F.array_distinct(F.transform("hits", span))
+    whole = bind(spans, lambda all_: F.filter(all_, lambda s: ~F.exists(all_, lambda o: (o["start"] <= s["start"]) & (o["end"] >= s["end"]) & (o != s))))
+    return hit.select("_id", "_print", whole.alias("extra"))

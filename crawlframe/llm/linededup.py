@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlframe.functions.bind import bind
-from crawlframe.llm.common import stored
+from crawlframe.llm.common import free_names, stored
 
 MIN_WORDS = 50
 #: A document is its id and the print of its text: rows alike in both are one document.
@@ -104,9 +104,9 @@ def _repeats(docs: DataFrame) -> bool:
     return not docs.groupBy("doc_id", F.xxhash64("text")).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
 
 
-def _rest(parts: Column, numbers: Column) -> Column:
-    """The lines that are not gone, joined."""
-    gone = bind(F.filter(numbers, lambda k: F.btrim(F.get(parts, k)) != ""), lambda written: F.transform("_gone", lambda k: F.get(written, k)))
+def _rest(parts: Column, numbers: Column, removed: str) -> Column:
+    """The lines that are not in the column ``removed``, joined."""
+    gone = bind(F.filter(numbers, lambda k: F.btrim(F.get(parts, k)) != ""), lambda written: F.transform(removed, lambda k: F.get(written, k)))
     return F.array_join(F.transform(F.array_except(numbers, gone), lambda k: F.get(parts, k)), "\n")
 
 
@@ -118,13 +118,14 @@ def without_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     whose lines all go becomes empty. An empty table gives no rows. Further columns pass through; a
     column named ``lines_removed`` is replaced.
     """
+    doc, mark, removed = free_names(docs, "_doc", "_print", "_gone")
     lines = F.explode(F.sequence("i", F.col("i") + F.col("m") - 1)).alias("i")
-    gone = repeated_runs(docs, min_words).select(*DOC, lines).groupBy(*DOC).agg(F.collect_set("i").alias("_gone"))
-    gone = gone.select(F.col("doc").alias("_doc"), F.col("print").alias("_print"), "_gone")
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_print")), "left")
+    gone = repeated_runs(docs, min_words).select(*DOC, lines).groupBy(*DOC).agg(F.collect_set("i").alias(removed))
+    gone = gone.select(F.col("doc").alias(doc), F.col("print").alias(mark), removed)
+    rows = docs.join(gone, docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(mark)), "left")
     # Bound once: inside the lambdas the text would be cut anew for every line.
-    rest = bind(F.split("text", "\n", -1), lambda parts: bind(F.sequence(F.lit(0), F.size(parts) - 1), lambda numbers: _rest(parts, numbers)))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)
-    removed = F.coalesce(F.size("_gone"), F.lit(0))
+    rest = bind(F.split(docs["text"], "\n", -1), lambda parts: bind(F.sequence(F.lit(0), F.size(parts) - 1), lambda numbers: _rest(parts, numbers, removed)))
+    text = F.when(F.col(removed).isNull(), docs["text"]).otherwise(rest)
+    count = F.coalesce(F.size(removed), F.lit(0))
     names = [c for c in docs.columns if c != "lines_removed"]
-    return rows.select(*[text.alias(c) if c == "text" else docs[c] for c in names], F.greatest(removed, F.lit(0)).alias("lines_removed"))
+    return rows.select(*[text.alias(c) if c == "text" else docs[c] for c in names], F.greatest(count, F.lit(0)).alias("lines_removed"))
