@@ -25,6 +25,8 @@ every text is read by the engine's own expressions alone.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,7 +114,7 @@ def _looks(instance: Column) -> Column:
 
 def _keys(before2: Column, before1: Column, after: Column) -> Column:
     """Keys of the patterns that the words make, a null for a word that is not there."""
-    return F.array(F.concat(F.lit("2|"), before2, F.lit(" "), before1), F.concat(F.lit("1|"), before1, F.lit("|"), after))
+    return F.array(F.concat(F.lit("2|"), before2, F.lit(" "), before1), F.concat(F.lit("1|"), before1, F.lit(" "), after))
 
 
 def _seed_patterns(found: DataFrame) -> DataFrame:
@@ -132,7 +134,8 @@ def _bit(key: Column) -> Column:
 
 def _key_filter(patterns: DataFrame) -> Column:
     """The filter as one literal array of numbers of 32 bits; its size does not follow the patterns."""
-    bits = patterns.select(_bit(F.col("key")).alias("b"))
+    anchors = F.concat(F.lit("0|"), F.when(F.col("key").startswith("1"), F.substring_index(F.substr("key", F.lit(3)), " ", 1)).otherwise(F.substring_index("key", " ", -1)))
+    bits = patterns.select(F.explode(F.array("key", anchors)).alias("key")).select(_bit(F.col("key")).alias("b"))
     word = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b") % 32)).alias("w")
     words = {r["at"]: r["w"] for r in bits.groupBy(F.floor(F.col("b") / 32).cast("int").alias("at")).agg(word).collect()}
     return F.split(F.lit(",".join(str(words.get(k, 0)) for k in range(BITS // 32))), ",").cast("array<long>")
@@ -147,7 +150,8 @@ def _places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 
     # Blanks stay where they are in the shape of a text, so its words are the words' shapes.
     words, shapes = F.regexp_extract_all("text", F.lit("\\S+"), F.lit(0)), F.regexp_extract_all(_shape(F.col("text")), F.lit("\\S+"), F.lit(0))
-    rows = docs.select("doc_id", "print", "taken", words.alias("words"), shapes.alias("shapes"))
+    taken = F.transform(base_spans(F.col("text")), lambda t: _taken(F.col("text"), t))
+    rows = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("print"), taken.alias("taken"), words.alias("words"), shapes.alias("shapes"))
     kind = "array<struct<at:int,run:int,key:string>>"
 
     def at_word(i: Column) -> Column:
@@ -156,9 +160,14 @@ def _places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
         two = F.concat(F.lit("2|"), F.get("shapes", i - 1), F.lit(" "), one)
         spans = [F.when((i + 1 < F.size("shapes")) & F.coalesce(passes(two), F.lit(False)), F.struct((i + 1).alias("at"), F.lit(1).alias("run"), two.alias("key")))]
         for run in range(1, RUN + 1):
-            key = F.concat(F.lit("1|"), one, F.lit("|"), F.get("shapes", i + run + 1))
-            spans.append(F.when(F.coalesce(passes(key), F.lit(False)), F.struct((i + 1).alias("at"), F.lit(run).alias("run"), key.alias("key"))))
-        return F.array_compact(F.array(*spans)).cast(kind)
+            after = F.get("shapes", i + run + 1)
+            key = F.concat(F.lit("1|"), one, F.lit(" "), after)
+            # Of the runs up to a word the shortest one is meant.
+            nearer = [F.get("shapes", i + r + 1) == after for r in range(1, run)]
+            first = ~reduce(Column.__or__, nearer) if nearer else F.lit(True)
+            spans.append(F.when(F.coalesce(passes(key) & first, F.lit(False)), F.struct((i + 1).alias("at"), F.lit(run).alias("run"), key.alias("key"))))
+        # One look tells for most words that no pattern has them in front.
+        return F.when(passes(F.concat(F.lit("0|"), one)), F.array_compact(F.array(*spans)).cast(kind)).otherwise(F.array().cast(kind))
 
     near = F.flatten(F.transform(F.sequence(F.lit(0), F.size("shapes") - 1), at_word))
     rows = rows.filter(F.size("shapes") > 1).withColumn("p", F.explode(near)).select("doc_id", "print", "taken", "words", "p.*")
@@ -167,23 +176,41 @@ def _places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     return rows.filter(free).select("doc_id", "print", "at", "run", "key", said.alias("instance")).filter("instance <> ''")
 
 
-def _believed(pairs: DataFrame, least_seeds: int, accept: float) -> tuple[DataFrame, DataFrame]:
-    """Believed patterns ``(kind, key)`` and instances ``(kind, instance)`` of the graph ``kind, key, instance, seed, like``."""
-    beliefs = pairs.groupBy("kind", "instance").agg(F.max("seed").cast("double").alias("belief"))
-    settled, turn = None, 0
+def _taken(text: Column, s: Column) -> Column:
+    """First and last word that a span touches."""
+
+    def words_in(part: Column) -> Column:
+        return F.size(F.regexp_extract_all(part, F.lit("\\S+"), F.lit(0)))
+
+    inside = F.substring(text, s["start"], F.lit(1)).rlike("\\S") & (s["start"] > 0)
+    first = words_in(F.substring(text, F.lit(1), s["start"])) - F.when(inside, 1).otherwise(0)
+    return F.struct(first.alias("first"), (words_in(F.substring(text, F.lit(1), s["end"])) - 1).alias("last"))
+
+
+def _believed(pairs: DataFrame, least_seeds: int, accept: float) -> tuple[DataFrame, DataFrame] | None:
+    """Believed patterns ``(kind, key)`` and instances ``(kind, instance)`` of the graph ``kind, key, instance, seed, like``; None if there are none.
+
+    Seeds and instances of a pattern are counted once; a round adds what believed instances bring, which are few.
+    """
+    counts = stored(pairs.groupBy("kind", "key").agg(F.count("*").alias("n"), F.sum("seed").alias("seeds")), "counts")
+    others, believed, settled, turn = pairs.filter("seed = 0"), None, None, 0
     while True:
         turn += 1
-        score = F.sum("belief") / (F.count("*") + 1)
-        scored = pairs.join(beliefs, ["kind", "instance"]).groupBy("kind", "key").agg(score.alias("score"), F.count(F.when(F.col("belief") > 0, 1)).alias("known"))
-        patterns = stored(scored.filter((F.col("known") >= least_seeds) & (F.col("score") >= accept)).select("kind", "key", "score"), f"patterns{turn}")
-        best = F.max(F.col("score") * 0.9 + F.col("like") * 0.1)
-        grown = pairs.join(patterns, ["kind", "key"], "left").groupBy("kind", "instance").agg(F.max("seed").alias("seed"), F.coalesce(best, F.lit(0.0)).alias("best"))
-        belief = F.when(F.col("seed") > 0, 1.0).when(F.col("best") >= accept, F.col("best")).otherwise(0.0)
-        beliefs = stored(grown.select("kind", "instance", belief.alias("belief"), "seed"), f"beliefs{turn}")
-        now = (patterns.count(), beliefs.filter("belief > 0").count())
+        scored = counts.withColumns({"more": F.lit(0.0), "known": F.col("seeds")})
+        if believed is not None:
+            gains = others.join(believed, ["kind", "instance"]).groupBy("kind", "key").agg(F.sum("belief").alias("gain"), F.count("*").alias("found"))
+            scored = counts.join(gains, ["kind", "key"], "left").withColumns({"more": F.coalesce("gain", F.lit(0.0)), "known": F.col("seeds") + F.coalesce("found", F.lit(0))})
+        score = (F.col("seeds") + F.col("more")) / (F.col("n") + 1)
+        patterns = scored.filter((F.col("known") >= least_seeds) & (score >= accept)).select("kind", "key", score.alias("score"))
+        patterns = stored(patterns, f"patterns{turn}")
+        if patterns.isEmpty():
+            return None
+        best = F.max(F.col("score") * 0.9 + F.col("like") * 0.1).alias("belief")
+        believed = stored(others.join(patterns, ["kind", "key"]).groupBy("kind", "instance").agg(best).filter(F.col("belief") >= accept), f"beliefs{turn}")
+        now = (patterns.count(), believed.count())
         # Belief only grows from round to round, so the counts stand still when nothing changes any more.
-        if now == settled or now[0] == 0:
-            return patterns.select("kind", "key"), beliefs.filter("belief > 0 and seed = 0").select("kind", "instance")
+        if now == settled:
+            return patterns.select("kind", "key"), believed.select("kind", "instance")
         settled = now
 
 
@@ -204,22 +231,13 @@ def identifiers(docs: DataFrame, least_seeds: int = LEAST_SEEDS, accept: float =
     def after(s: Column) -> Column:
         return F.concat(F.substring("text", s["end"] + 1, F.lit(REACH)), F.when(F.length("text") <= s["end"] + REACH, F.lit(" ")).otherwise(F.lit("")))
 
-    def words_in(part: Column) -> Column:
-        return F.size(F.regexp_extract_all(part, F.lit("\\S+"), F.lit(0)))
-
-    def taken(s: Column) -> Column:
-        """First and last word that the span touches."""
-        inside = F.substring("text", s["start"], F.lit(1)).rlike("\\S") & (s["start"] > 0)
-        first = words_in(F.substring("text", F.lit(1), s["start"])) - F.when(inside, 1).otherwise(0)
-        return F.struct(first.alias("first"), (words_in(F.substring("text", F.lit(1), s["end"])) - 1).alias("last"))
-
     seen = F.transform("base", lambda s: F.struct(F.get(F.array(*[F.lit(k) for k in KINDS]), s["kind"]).alias("kind"), s["said"].alias("said"), before(s).alias("before"), after(s).alias("after")))
     # Written once: spans and contexts are small beside the texts.
-    found = stored(read.select("doc_id", "print", "base", seen.alias("seen"), F.transform("base", taken).alias("taken")), "spans")
+    found = stored(read.select("doc_id", "print", "base", seen.alias("seen")), "spans")
 
     seeds = stored(_seed_patterns(found), "seeds")
     patterns = stored(seeds.groupBy("kind", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= least_seeds).select("kind", "key"), "candidates")
-    extra = None if patterns.isEmpty() else _contexts(docs, found, seeds, patterns, least_seeds, accept)
+    extra = None if patterns.isEmpty() else _contexts(docs, seeds, patterns, least_seeds, accept)
     if extra is None:
         rows = found.withColumn("extra", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     else:
@@ -238,28 +256,25 @@ def identifiers(docs: DataFrame, least_seeds: int = LEAST_SEEDS, accept: float =
     return rows.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(every).alias("spans"))
 
 
-def _contexts(docs: DataFrame, found: DataFrame, seeds: DataFrame, patterns: DataFrame, least_seeds: int, accept: float) -> DataFrame:
-    """``_id, _print, extra``: the spans that believed patterns and instances add to a document."""
-    # Rows alike in id and text are one document here.
-    once = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
-    ranges = found.filter(F.size("taken") > 0).groupBy("doc_id", "print").agg(F.first("taken").alias("taken"))
-    ranges = ranges.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), "taken")
-    none = F.array().cast("array<struct<first:int,last:int>>")
-    searched = once.join(ranges, once["doc_id"].eqNullSafe(ranges["_id"]) & (once["print"] == ranges["_print"]), "left").withColumn("taken", F.coalesce("taken", none))
-    places = _places(searched, patterns).join(patterns, "key")
-    # Of the runs between two words the shortest one is meant.
-    shortest = places.groupBy("doc_id", "print", "at", "kind", "key").agg(F.min(F.struct("run", "instance")).alias("s"))
-    places = stored(shortest.select("doc_id", "print", "at", "kind", "key", "s.run", "s.instance"), "places")
+def _contexts(docs: DataFrame, seeds: DataFrame, patterns: DataFrame, least_seeds: int, accept: float) -> DataFrame | None:
+    """``_id, _print, extra``: the spans that believed patterns and instances add to a document; None if nothing is believed."""
+    # The graph needs what stands in a pattern, not where: rows combine in the task that reads the texts.
+    proposed = _places(docs, patterns).join(patterns, "key").select("kind", "key", "instance").distinct()
     likes = seeds.select("kind", _looks(F.col("instance")).alias("looks")).distinct().withColumn("like", F.lit(1))
-    others = places.select("kind", "key", "instance").distinct().withColumn("looks", _looks(F.col("instance"))).join(likes, ["kind", "looks"], "left")
+    others = proposed.withColumn("looks", _looks(F.col("instance"))).join(likes, ["kind", "looks"], "left")
     others = others.select("kind", "key", "instance", F.lit(0).alias("seed"), F.coalesce("like", F.lit(0)).alias("like"))
     own = seeds.join(patterns, ["kind", "key"], "left_semi").select("kind", "key", "instance", F.lit(1).alias("seed"), F.lit(1).alias("like"))
-    pairs = own.unionByName(others).groupBy("kind", "key", "instance").agg(F.max("seed").alias("seed"), F.max("like").alias("like"))
-    believed, accepted = _believed(stored(pairs, "pairs"), least_seeds, accept)
-
-    hits = places.join(believed, ["kind", "key"], "left_semi").join(accepted, ["kind", "instance"], "left_semi")
-    hits = hits.groupBy("doc_id", "print").agg(F.collect_set(F.struct("at", "run", "instance")).alias("hits")).select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), "hits")
-    hit = once.dropDuplicates(["doc_id", "print"]).join(hits, once["doc_id"].eqNullSafe(hits["_id"]) & (once["print"] == hits["_print"]))
+    graph = _believed(stored(own.unionByName(others), "pairs"), least_seeds, accept)
+    if graph is None:
+        return None
+    believed, accepted = graph
+    # Believed patterns are few; the texts are looked through for them once more, now with places.
+    places = _places(docs, believed.select("key").distinct()).join(believed, "key").join(accepted, ["kind", "instance"], "left_semi")
+    hits = places.groupBy("doc_id", "print").agg(F.collect_set(F.struct("at", "run", "instance")).alias("hits")).select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), "hits")
+    hits = stored(hits, "hits")
+    # Rows alike in id and text are one document here.
+    once = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
+    hit = once.join(hits, once["doc_id"].eqNullSafe(hits["_id"]) & (once["print"] == hits["_print"])).dropDuplicates(["_id", "_print"])
     words, gaps = F.regexp_extract_all("text", F.lit("\\S+"), F.lit(0)), F.split("text", "\\S+", -1)
     hit = hit.select("_id", "_print", "hits", words.alias("words"), gaps.alias("gaps"))
 

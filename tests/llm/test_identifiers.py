@@ -37,7 +37,7 @@ def plain(docs, least=3, accept=0.6):
             follows = re.match(r"[!-/:-@\[-`{-~]*\s+(\S+)(?:\s|\Z)", text[b:])
             if not glued:
                 keys = [f"2|{before[-2]} {before[-1]}"] if len(before) > 1 else []
-                keys += [f"1|{before[-1]}|{shape(follows[1])}"] if follows else []
+                keys += [f"1|{before[-1]} {shape(follows[1])}"] if follows else []
                 seeds |= {(KINDS[kind], k, text[a:b]) for k in keys}
             taken[n] += [k for k, (x, y) in enumerate(words[n]) if x < b and a < y]
     patterns = {(kind, key) for kind, key, _ in seeds if len({i for q, k, i in seeds if (q, k) == (kind, key)}) >= least}
@@ -49,7 +49,7 @@ def plain(docs, least=3, accept=0.6):
         own = [text[x:y] for x, y in words[n]]
         for i in range(len(own)):
             found = [(1, f"2|{shape(own[i - 1])} {shape(own[i])}")] if 0 < i < len(own) - 1 else []
-            found += [(r, f"1|{shape(own[i])}|{shape(own[i + r + 1])}") for r in range(1, identifiers.RUN + 1) if i + r + 1 < len(own)]
+            found += [(r, f"1|{shape(own[i])} {shape(own[i + r + 1])}") for r in range(1, identifiers.RUN + 1) if i + r + 1 < len(own)]
             for run, key in found:
                 said = re.sub("[.,;:!?]+$", "", " ".join(own[i + 1 : i + 1 + run]))
                 if said and not set(range(i + 1, i + 1 + run)) & set(taken[n]):
