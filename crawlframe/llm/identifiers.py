@@ -16,8 +16,10 @@ or instance is believed. Believed instances are reported where they stand in a b
 kind ``context``; one inside a longer one is dropped. A pattern of words that stand in front of everything
 has many instances and few seeds, and is never believed.
 
-The search for patterns goes over the words of all texts. A filter of ``BITS`` bits, filled with the keys of
-the patterns, keeps most places out of the join; keys decide there. Only DataFrame functions are used.
+The search for patterns goes over the words of all texts, but for patterns that a part of the texts shows to
+have too many instances for ever being believed (see ``_active``; no result depends on that part). A filter
+of ``BITS`` bits, filled with the keys of the patterns, keeps most places out of the join; keys decide there.
+Only DataFrame functions are used.
 
 Spans are in code points, end exclusive. Places come from the lengths of the parts between matches, so
 every text is read by the engine's own expressions alone.
@@ -25,6 +27,7 @@ every text is read by the engine's own expressions alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +51,8 @@ RULES = {
 REACH = 200
 #: Longest run of words that a pattern proposes, and bits of the filter of pattern keys.
 RUN, BITS = 4, 1 << 18
+#: One text of so many gives the lower bounds of what stands in a pattern.
+BOUND = 32
 #: Least distinct believed instances of a believed pattern, belief from which on something is believed.
 LEAST_SEEDS, ACCEPT = 3, 0.6
 
@@ -236,7 +241,7 @@ def identifiers(docs: DataFrame, least_seeds: int = LEAST_SEEDS, accept: float =
     found = stored(read.select("doc_id", "print", "base", seen.alias("seen")), "spans")
 
     seeds = stored(_seed_patterns(found), "seeds")
-    patterns = stored(seeds.groupBy("kind", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= least_seeds).select("kind", "key"), "candidates")
+    patterns = stored(seeds.groupBy("kind", "key").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= least_seeds), "candidates")
     extra = None if patterns.isEmpty() else _contexts(docs, seeds, patterns, least_seeds, accept)
     if extra is None:
         rows = found.withColumn("extra", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
@@ -256,17 +261,49 @@ def identifiers(docs: DataFrame, least_seeds: int = LEAST_SEEDS, accept: float =
     return rows.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(every).alias("spans"))
 
 
-def _contexts(docs: DataFrame, seeds: DataFrame, patterns: DataFrame, least_seeds: int, accept: float) -> DataFrame | None:
-    """``_id, _print, extra``: the spans that believed patterns and instances add to a document; None if nothing is believed."""
+def _active(docs: DataFrame, patterns: DataFrame, accept: float) -> Callable[[int], DataFrame]:
+    """``(kind, key)`` of the patterns that can be believed at all if so many instances that are no seeds are.
+
+    What stands in a pattern in one text of ``BOUND`` alone is a lower bound of its instances. A pattern with too many for
+    its seeds and all believed instances together will not be believed however many more there are, so the
+    whole texts need not be looked through for it: most pairs of common words go here.
+    """
+    some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(BOUND)) == 0)
+    seen = _places(some, patterns).join(patterns, "key").select("kind", "key", "instance").distinct().groupBy("kind", "key").agg(F.count("*").alias("least"))
+    bounded = stored(patterns.join(seen, ["kind", "key"], "left").withColumn("least", F.coalesce("least", F.lit(0))), "bounded")
+
+    def active(believed: int) -> DataFrame:
+        return bounded.filter((F.col("seeds") + believed) / (F.col("seeds") + F.col("least") + 1) >= accept).select("kind", "key", "seeds")
+
+    return active
+
+
+def _graph(docs: DataFrame, seeds: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``kind, key, instance, seed, like``: patterns and what stands in them, each pair once."""
     # The graph needs what stands in a pattern, not where: rows combine in the task that reads the texts.
-    proposed = _places(docs, patterns).join(patterns, "key").select("kind", "key", "instance").distinct()
+    proposed = _places(docs, patterns).join(patterns.select("kind", "key"), "key").select("kind", "key", "instance").distinct()
     likes = seeds.select("kind", _looks(F.col("instance")).alias("looks")).distinct().withColumn("like", F.lit(1))
     others = proposed.withColumn("looks", _looks(F.col("instance"))).join(likes, ["kind", "looks"], "left")
     others = others.select("kind", "key", "instance", F.lit(0).alias("seed"), F.coalesce("like", F.lit(0)).alias("like"))
     own = seeds.join(patterns, ["kind", "key"], "left_semi").select("kind", "key", "instance", F.lit(1).alias("seed"), F.lit(1).alias("like"))
-    graph = _believed(stored(own.unionByName(others), "pairs"), least_seeds, accept)
-    if graph is None:
-        return None
+    return stored(own.unionByName(others), "pairs")
+
+
+def _contexts(docs: DataFrame, seeds: DataFrame, patterns: DataFrame, least_seeds: int, accept: float) -> DataFrame | None:
+    """``_id, _print, extra``: the spans that believed patterns and instances add to a document; None if nothing is believed."""
+    active = _active(docs, patterns, accept)
+    chosen, size, believed_so_far = active(0), None, 0
+    while True:
+        chosen = stored(chosen, "active")
+        now = chosen.count()
+        if now == size:
+            break
+        graph = _believed(_graph(docs, seeds, chosen), least_seeds, accept) if now else None
+        if graph is None:
+            return None
+        # Further patterns come into reach when many instances are believed.
+        size, believed_so_far = now, graph[1].count()
+        chosen = active(believed_so_far)
     believed, accepted = graph
     # Believed patterns are few; the texts are looked through for them once more, now with places.
     places = _places(docs, believed.select("key").distinct()).join(believed, "key").join(accepted, ["kind", "instance"], "left_semi")
