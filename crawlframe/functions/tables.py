@@ -34,14 +34,15 @@ def probe(slots: Column, size: Column | int, key: Column) -> Column:
 
 
 def literal_table(values: Mapping[str, str]) -> Callable[[Column], Column]:
-    """A function of a key column, NULL for keys that are not in ``values``. Neither may hold the control characters above.
+    """A function of a key column, NULL for keys that are not in ``values``. Values must not hold the control characters above.
 
-    The table is one literal, split when the plan's constants are folded. A literal for each entry would have
+    Keys stand in the table as hexadecimal text, so they may hold any character. The table is one literal, split when the plan's constants are folded. A literal for each entry would have
     to be built and sent to the plan one by one.
     """
     size = 1 << max(1, len(values)).bit_length()
     slots = [""] * size
     for key, value in values.items():
+        key = key.encode().hex().upper()
         slots[zlib.crc32(key.encode()) % size] += f"{KEY}{key}{VALUE}{value}"
     joined = SLOT.join(slots)
-    return lambda key: probe(F.split(F.lit(joined), SLOT, -1), size, key)
+    return lambda key: probe(F.split(F.lit(joined), SLOT, -1), size, F.hex(key))
