@@ -262,7 +262,10 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, **sizes: i
     spelled = kept.select("gram", "f", "best", F.posexplode("gram").alias("pos", "id")).join(words.select(F.col("id").cast("int").alias("id"), "lang", "word"), "id")
     said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ")
     rows = spelled.groupBy("gram", "f", "best").agg(F.first("lang").alias("lang"), said.alias("phrase")).select("lang", "phrase", F.col("f").alias("a"), "best.l", "best.r", "best.score")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    # The plain comparison lets Spark keep the first of each task only before it brings a lang together.
-    ranked = rows.withColumn("rank", rank).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # A lang's phrases are ranked in as many parts as shuffles have, then the first of each part together.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    first = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
